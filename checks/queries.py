@@ -1719,7 +1719,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     d = _detect(spark, sf)
-    return reports.analysis_summary(network(spark, sf), process(spark, sf), d.risk, d.findings, d.bounds, SETTINGS)
+    return reports.analysis_summary(d.scored_network, d.scored_process, d.risk, d.findings, d.bounds, SETTINGS)
 
 
 def _profile_rows(section: str, subject: str, source: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Process names the detector counts as administration tools.
 ADMIN_PROCESSES = ("powershell.exe", "cmd.exe", "bash", "sudo", "ssh")
@@ -68,6 +68,8 @@ class Settings:
 
     peer_groups: int = 5
     seed: int = 42
+    # Users without a baseline are scored against their peers' mean instead of not at all.
+    peer_fallback: bool = False
 
     zscore_threshold: float = 2.5
     zscore_strong: float = 3.0

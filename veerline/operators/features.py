@@ -3,8 +3,9 @@
 All are one hash aggregation, which Spark splits into a map-side and a final part; a user
 with a large share of the events is reduced to a few rows per map task before any row is
 shuffled. Exact distinct counts are shuffled by user, day *and value*, so that such a user's
-values are spread over all tasks too. ``approx=True`` replaces them by sketches: less work
-per event, and counts with about 2 % error.
+values are spread over all tasks too. ``approx=True`` replaces them by sketches with about 5 %
+error; they pay off only where users have very many distinct values a day, as a sketch is
+larger than a short list of values.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ PROCESS_ANALYSIS = (
 
 
 def _distinct(column: Column | str, approx: bool) -> Column:
-    return F.approx_count_distinct(column, 0.02) if approx else F.count_distinct(column)
+    return F.approx_count_distinct(column) if approx else F.count_distinct(column)
 
 
 def _hours_seen() -> Column:

@@ -85,7 +85,11 @@ def fit_iforest(
                 continue
             feature = int(rng.choice(np.flatnonzero(spread)))
             values = block[:, feature]
-            cut = float(rng.uniform(values.min(), values.max()))
+            low, high = float(values.min()), float(values.max())
+            cut = float(rng.uniform(low, high))
+            if cut >= high:
+                # Neighbouring floats have nothing in between; either side must keep a row.
+                cut = low
             below = values <= cut
             nodes.append([tree, here, feature, cut, -1, -1, 0.0, len(points)])
             waiting.append((members[~below], depth + 1, (here, 5)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, LEVELS, Settings
-from .bounds import Bounds, in_analysis
+from .bounds import Bounds
 from .enrich import drill_network, drill_process
 from .risk import risk_distribution, top_users
 from .scores import top_days_per_user
@@ -87,15 +87,25 @@ def _section(df: DataFrame, section: str, item: str, value: str) -> DataFrame:
     )
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def analysis_summary(
-    network: DataFrame,
-    process: DataFrame | None,
+    scored_network: DataFrame,
+    scored_process: DataFrame | None,
     risk: DataFrame,
     findings: DataFrame,
     bounds: Bounds,
     settings: Settings = DEFAULT,
 ) -> DataFrame:
-    """The run in one long table: section, item, value. Periods are in seconds since 1970."""
+    """The run in one long table: section, item, value. Periods are in seconds since 1970.
+
+    Events are counted by adding up the scored user-days; the events are not read again.
+    """
     spark = risk.sparkSession
     instants = spark.range(1).select(
         *[
@@ -103,22 +113,17 @@ def analysis_summary(
             for n in ("baseline_start", "analysis_start", "analysis_end")
         ]
     )
-    sources = {"network_events": network}
-    if process is not None:
-        sources["process_events"] = process
     parts = [_section(instants.unpivot([], instants.columns, "item", "value"), "period", "item", "value")]
-    for name, events in sources.items():
-        counted = in_analysis(events, bounds, settings).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_section(counted.withColumn("item", F.lit(name)), "data", "item", "n"))
-    users = risk.agg(F.count(F.lit(1)).alias("n")).withColumn("item", F.lit("users"))
-    parts.append(_section(users, "data", "item", "n"))
+    events = [("network_events", scored_network.agg(F.sum("daily_events").alias("n")))]
+    if scored_process is not None:
+        events.append(("process_events", scored_process.agg(F.sum("daily_processes").alias("n"))))
+    events.append(("users", risk.agg(F.count(F.lit(1)).alias("n"))))
+    for name, total in events:
+        parts.append(_section(total.withColumn("item", F.lit(name)), "data", "item", "n"))
     parts.append(_section(risk_distribution(risk), "risk", "final_risk_level", "count"))
     parts.append(_section(findings_by_severity(findings), "findings", "severity", "findings"))
     parts.append(_section(top_users(risk, 5, settings), "top_users", "user", "combined_risk_score"))
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return _union(parts)
 
 
 def quality_summary(network: DataFrame, process: DataFrame, findings: DataFrame) -> DataFrame:
@@ -134,10 +139,7 @@ def quality_summary(network: DataFrame, process: DataFrame, findings: DataFrame)
     parts.append(_section(total.unpivot([], total.columns, "item", "value"), "findings", "item", "value"))
     by_type = findings.groupBy("finding_type").agg(F.count(F.lit(1)).alias("n"))
     parts.append(_section(by_type, "findings_by_type", "finding_type", "n"))
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return _union(parts)
 
 
 def investigation(
@@ -174,7 +176,4 @@ def investigation_summary(views: dict[str, DataFrame]) -> DataFrame:
         parts.append(
             _section(views["process"].groupBy("process_name").count(), "process_runs", "process_name", "count")
         )
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return _union(parts)

@@ -1,4 +1,5 @@
 from .detection import Detection, detect
+from .run import run_detection, run_training
 from .training import Training, train
 
-__all__ = ["Detection", "Training", "detect", "train"]
+__all__ = ["Detection", "Training", "detect", "run_detection", "run_training", "train"]

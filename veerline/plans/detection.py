@@ -19,7 +19,13 @@ from ..operators.bounds import Bounds, resolve_bounds
 from ..operators.findings import all_findings, network_findings, process_findings
 from ..operators.peers import peer_groups
 from ..operators.risk import user_risk
-from ..operators.scores import attach_baseline, attach_peers, network_score, process_score
+from ..operators.scores import (
+    attach_baseline,
+    attach_peers,
+    network_score,
+    process_score,
+    with_peer_fallback,
+)
 from ..sinks.storage import materialise
 
 
@@ -55,9 +61,13 @@ def scored_network_days(
         baseline = materialise(baseline, "baseline-network")
     if callable(peers):
         peers = peers(baseline)
-    days = attach_baseline(features.of_period(daily, "analysis").select("user", "date", *features.WIDE_ANALYSIS), baseline)
-    if peers is not None:
-        days = attach_peers(days, peers)
+    days = features.of_period(daily, "analysis").select("user", "date", *features.WIDE_ANALYSIS)
+    if settings.peer_fallback and peers is not None:
+        days = with_peer_fallback(days, baseline, peers, settings)
+    else:
+        days = attach_baseline(days, baseline)
+        if peers is not None:
+            days = attach_peers(days, peers)
     return baseline, network_score(days, settings), peers
 
 
