@@ -41,7 +41,12 @@ def check(name: str, sql: str | None = None, doubles: str = "", dates: str = "",
     """
 
     def register(query: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: plain(query(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Days and hours are cut in the session time zone; the tables are in UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return plain(query(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             shaped = [f'round("{c}", 6) AS "{c}"' for c in doubles.split()]
             shaped += [f"strftime(\"{c}\", '{DATE}') AS \"{c}\"" for c in dates.split()]

@@ -93,7 +93,8 @@ def top_users(risk: DataFrame, n: int = 5, settings: Settings = DEFAULT) -> Data
 
 def with_user_level(scored: DataFrame, risk: DataFrame) -> DataFrame:
     """Scored user-days with the peer group and level of the user's risk row."""
-    levels = risk.select("user", "peer_group", "final_risk_level")
+    group = F.col("peer_group") if "peer_group" in risk.columns else F.lit(None).cast("int").alias("peer_group")
+    levels = risk.select("user", group, "final_risk_level")
     return scored.drop("peer_group").join(levels, "user")
 
 

@@ -53,7 +53,9 @@ def scored_network_days(
 
     ``peers`` are given groups, or a function of the baseline.
     """
-    daily = features.daily_network_periods(events, bounds, settings, approx=approx)
+    # Only what scores and baselines use: every further distinct count is a further copy of
+    # each event in the aggregation.
+    daily = features.daily_network_periods(events, bounds, settings, features.WIDE_ANALYSIS, approx)
     if store:
         daily = materialise(daily, "daily-network")
     baseline = user_baseline_network(features.of_period(daily, "baseline"))
@@ -61,7 +63,7 @@ def scored_network_days(
         baseline = materialise(baseline, "baseline-network")
     if callable(peers):
         peers = peers(baseline)
-    days = features.of_period(daily, "analysis").select("user", "date", *features.WIDE_ANALYSIS)
+    days = features.of_period(daily, "analysis")
     if settings.peer_fallback and peers is not None:
         days = with_peer_fallback(days, baseline, peers, settings)
     else:
@@ -74,12 +76,12 @@ def scored_network_days(
 def scored_process_days(
     events: DataFrame, bounds: Bounds, settings: Settings = DEFAULT, store: bool = False, approx: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    daily = features.daily_process_periods(events, bounds, settings, approx=approx)
+    daily = features.daily_process_periods(events, bounds, settings, features.PROCESS_ANALYSIS, approx)
     if store:
         daily = materialise(daily, "daily-process")
     baseline = user_baseline_process(features.of_period(daily, "baseline"))
-    days = features.of_period(daily, "analysis").select("user", "date", *features.PROCESS_ANALYSIS)
-    return baseline, process_score(attach_baseline(days, baseline), settings)
+    days = attach_baseline(features.of_period(daily, "analysis"), baseline)
+    return baseline, process_score(days, settings)
 
 
 def detect(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,12 +13,6 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "p
     writer.save(name) if "/" in name else writer.saveAsTable(name)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path)
-
-
 def _only_new(findings: DataFrame, stored: DataFrame) -> DataFrame:
     """Findings whose id is not stored yet.
 
@@ -36,13 +31,15 @@ def append_findings(findings: DataFrame, path: str) -> DataFrame:
 
     New columns are allowed: the returned reader merges the schemas of all appends.
     """
-    spark = findings.sparkSession
-    if _path_exists(spark, path):
-        stored = spark.read.option("mergeSchema", True).parquet(path)
+    reader = findings.sparkSession.read.option("mergeSchema", True)
+    try:
         # Fixed before the append, which would otherwise change its own input.
-        findings = materialise(_only_new(findings, stored), "new-findings")
+        findings = materialise(_only_new(findings, reader.parquet(path)), "new-findings")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
     findings.write.mode("append").parquet(path)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return reader.parquet(path)
 
 
 def append_to_table(findings: DataFrame, table: str) -> None:

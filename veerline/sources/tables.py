@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,12 +32,14 @@ def read_optional(
 
     Only absence is forgiven; any other failure is raised.
     """
-    if _is_path(source):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
-        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    else:
-        found = spark.catalog.tableExists(source)
-    return read_events(spark, source, schema, fmt) if found else None
+    if not _is_path(source) and not spark.catalog.tableExists(source):
+        return None
+    try:
+        return read_events(spark, source, schema, fmt)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_sources(spark: SparkSession, settings: Settings = DEFAULT) -> tuple[DataFrame, DataFrame | None]:
