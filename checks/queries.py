@@ -45,23 +45,23 @@ def _reasoned(spark, sf):
     return rules.with_anomaly_reason(network(spark, sf), HOURS, SETTINGS)
 
 
-def _baseline(spark, sf):
-    events = bd.in_baseline(network(spark, sf), _bounds(spark, sf), SETTINGS)
+def _baseline(spark, sf, bounds=None):
+    events = bd.in_baseline(network(spark, sf), bounds or _bounds(spark, sf), SETTINGS)
     return baseline.user_baseline_network(features.daily_network(events))
 
 
-def _analysis(spark, sf):
-    events = bd.in_analysis(network(spark, sf), _bounds(spark, sf), SETTINGS)
+def _analysis(spark, sf, bounds=None):
+    events = bd.in_analysis(network(spark, sf), bounds or _bounds(spark, sf), SETTINGS)
     return features.daily_network(events, features.WIDE_ANALYSIS)
 
 
-def _process_baseline(spark, sf):
-    events = bd.in_baseline(process(spark, sf), _bounds(spark, sf), SETTINGS)
+def _process_baseline(spark, sf, bounds=None):
+    events = bd.in_baseline(process(spark, sf), bounds or _bounds(spark, sf), SETTINGS)
     return baseline.user_baseline_process(features.daily_process(events, SETTINGS))
 
 
-def _process_analysis(spark, sf):
-    events = bd.in_analysis(process(spark, sf), _bounds(spark, sf), SETTINGS)
+def _process_analysis(spark, sf, bounds=None):
+    events = bd.in_analysis(process(spark, sf), bounds or _bounds(spark, sf), SETTINGS)
     return features.daily_process(events, SETTINGS, features.PROCESS_ANALYSIS)
 
 
@@ -75,13 +75,15 @@ def _peers_of(base: DataFrame) -> DataFrame:
 
 
 def _scored(spark, sf, settings=SETTINGS):
-    base = sinks.materialise(_baseline(spark, sf), "baseline")
-    days = scores.attach_peers(scores.attach_baseline(_analysis(spark, sf), base), _peers_of(base))
-    return scores.network_score(days, settings)
+    bounds = _bounds(spark, sf)
+    base = sinks.materialise(_baseline(spark, sf, bounds), "baseline")
+    days = scores.attach_baseline(_analysis(spark, sf, bounds), base)
+    return scores.network_score(scores.attach_peers(days, _peers_of(base)), settings)
 
 
 def _process_scored(spark, sf):
-    days = scores.attach_baseline(_process_analysis(spark, sf), _process_baseline(spark, sf))
+    bounds = _bounds(spark, sf)
+    days = scores.attach_baseline(_process_analysis(spark, sf, bounds), _process_baseline(spark, sf, bounds))
     return scores.process_score(days, SETTINGS)
 
 

@@ -19,79 +19,91 @@ CENTROIDS = [[0.1, 0.1], [0.3, 0.3], [0.5, 0.5], [0.7, 0.7], [0.9, 0.9]]
 NEW_ACCOUNTS_FROM = "2024-01-24 00:00:00"
 
 
+_plans: dict[tuple[SparkSession, str, str], DataFrame] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The lazy plan of a view, built once per session; no data is computed or kept."""
+    key = (spark, sf_dir, name)
+    if key not in _plans:
+        _plans[key] = build()
+    return _plans[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _once(spark, sf_dir, f"table {name}", lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
-def _k():
-    return F.get_json_object("props", "$.k").cast("int")
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "*", "CAST(get_json_object(props, '$.k') AS INT) AS k", "CAST(round(value * 100) AS BIGINT) AS bo"
+    )
 
 
 def network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumns(
-        {"k": _k(), "bo": F.round(F.col("value") * 100).cast("bigint")}
-    )
-    renamed = (F.col("user_id") <= 3) & (F.col("ts") >= F.lit(NEW_ACCOUNTS_FROM).cast("timestamp_ntz"))
-    port = F.element_at(F.array(*[F.lit(p) for p in (443, 80, 22, 445, 3389)]), F.col("k") % 5 + 1)
-    return events.select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.concat(F.when(renamed, "new").otherwise("u"), F.col("user_id").cast("string")).alias("user"),
-        F.concat(
-            F.lit("10.0."), F.floor(F.col("user_id") / 250).cast("string"), F.lit("."),
-            (F.col("user_id") % 250 + 1).cast("string"),
-        ).alias("src_ip"),
-        (49152 + F.col("event_id") % 16384).cast("int").alias("src_port"),
-        F.concat(F.when(F.col("k") < 10, "10.1.0.").otherwise("203.0.113."), F.col("k").cast("string")).alias("dest_ip"),
-        F.concat(F.col("event_type"), F.lit(".example")).alias("dest_host"),
-        port.alias("dest_port"),
-        F.lit("tcp").alias("protocol"),
-        F.col("event_type").alias("app_name"),
-        (F.col("bo") * 3).alias("bytes_in"),
-        F.col("bo").alias("bytes_out"),
-        F.floor(F.col("bo") * 3 / 1500).alias("packets_in"),
-        F.floor(F.col("bo") / 1500).alias("packets_out"),
-        (1 + F.col("event_id") % 300).cast("int").alias("session_duration"),
-        F.lit("Allowed").alias("action"),
-        (F.col("bo") >= 25_000).alias("is_anomaly"),
+    return _once(
+        spark,
+        sf_dir,
+        "network",
+        lambda: _events(spark, sf_dir).selectExpr(
+            "event_id",
+            "ts AS event_time",
+            f"""concat(CASE WHEN user_id <= 3 AND ts >= TIMESTAMP_NTZ '{NEW_ACCOUNTS_FROM}' THEN 'new' ELSE 'u' END,
+                       CAST(user_id AS STRING)) AS user""",
+            "concat('10.0.', user_id div 250, '.', user_id % 250 + 1) AS src_ip",
+            "CAST(49152 + event_id % 16384 AS INT) AS src_port",
+            "concat(CASE WHEN k < 10 THEN '10.1.0.' ELSE '203.0.113.' END, k) AS dest_ip",
+            "concat(event_type, '.example') AS dest_host",
+            "element_at(array(443, 80, 22, 445, 3389), k % 5 + 1) AS dest_port",
+            "'tcp' AS protocol",
+            "event_type AS app_name",
+            "bo * 3 AS bytes_in",
+            "bo AS bytes_out",
+            "bo * 3 div 1500 AS packets_in",
+            "bo div 1500 AS packets_out",
+            "CAST(1 + event_id % 300 AS INT) AS session_duration",
+            "'Allowed' AS action",
+            "bo >= 25000 AS is_anomaly",
+        ),
     )
 
 
 def process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn("k", _k())
-    flagged = (F.col("event_type") == "error") & (F.col("value") >= 150)
-    kind = F.col("event_type")
-    named = events.withColumns(
-        {
-            "is_anomaly": flagged,
-            "process_name": F.when(kind == "signup", "powershell.exe")
-            .when(kind == "purchase", "cmd.exe")
-            .when(flagged, "mimikatz.exe")
-            .when(kind == "error", "python.exe")
-            .when(kind == "click", "chrome.exe")
-            .otherwise("excel.exe"),
-        }
-    )
-    k = F.col("k").cast("string")
-    return named.select(
-        "event_id",
-        F.col("ts").alias("event_time"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user"),
-        F.concat(F.lit("h"), (F.col("k") % 7).cast("string")).alias("host"),
-        "process_name",
-        F.concat(F.lit("/opt/p"), (F.col("k") % 13).cast("string")).alias("process_path"),
-        F.concat("process_name", F.lit(" --k "), k).alias("cmd_line"),
-        F.when(F.col("k") % 2 == 0, "explorer.exe").otherwise("bash").alias("parent_process"),
-        F.md5("process_name").alias("md5_hash"),
-        F.sha2("process_name", 256).alias("sha256_hash"),
-        "is_anomaly",
+    return _once(
+        spark,
+        sf_dir,
+        "process",
+        lambda: _events(spark, sf_dir)
+        .selectExpr(
+            "*",
+            "event_type = 'error' AND value >= 150 AS is_anomaly",
+            """CASE WHEN event_type = 'signup' THEN 'powershell.exe' WHEN event_type = 'purchase' THEN 'cmd.exe'
+                    WHEN event_type = 'error' AND value >= 150 THEN 'mimikatz.exe'
+                    WHEN event_type = 'error' THEN 'python.exe' WHEN event_type = 'click' THEN 'chrome.exe'
+                    ELSE 'excel.exe' END AS process_name""",
+        )
+        .selectExpr(
+            "event_id",
+            "ts AS event_time",
+            "concat('u', CAST(user_id AS STRING)) AS user",
+            "concat('h', k % 7) AS host",
+            "process_name",
+            "concat('/opt/p', k % 13) AS process_path",
+            "concat(process_name, ' --k ', k) AS cmd_line",
+            "CASE WHEN k % 2 = 0 THEN 'explorer.exe' ELSE 'bash' END AS parent_process",
+            "md5(process_name) AS md5_hash",
+            "sha2(process_name, 256) AS sha256_hash",
+            "is_anomaly",
+        ),
     )
 
 
 def network_with_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Network events with source and destination countries from ``nation``."""
     events = table(spark, sf_dir, "events").select(
-        "event_id", (F.col("user_id") % 25).cast("int").alias("src_key"), (_k() % 25).alias("dest_key")
+        "event_id",
+        (F.col("user_id") % 25).cast("int").alias("src_key"),
+        (F.get_json_object("props", "$.k").cast("int") % 25).alias("dest_key"),
     )
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     source = nation.select(F.col("n_nationkey").alias("src_key"), F.col("n_name").alias("src_country"))
