@@ -1246,8 +1246,10 @@ def _(spark, sf):
 
 @check("f3_peer_groups_six_features")
 def _(spark, sf):
-    base = sinks.materialise(_baseline(spark, sf), "baseline")
-    return pr.peer_groups_standardized(base, _process_baseline(spark, sf), SETTINGS).groups
+    bounds = _bounds(spark, sf)
+    base = sinks.materialise(_baseline(spark, sf, bounds), "baseline")
+    runs = sinks.materialise(_process_baseline(spark, sf, bounds), "process-baseline")
+    return pr.peer_groups_standardized(base, runs, SETTINGS).groups
 
 
 @check("f4_cluster_metrics")

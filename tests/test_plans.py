@@ -109,3 +109,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
     with pytest.raises(ValueError):
         sinks.scratch_dir(Session())
     assert sinks.scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.mark.parametrize("daily", [features.daily_network_periods, features.daily_process_periods])
+def test_events_are_never_shuffled_by_user_alone(spark, daily):
+    """A user may own a third of all events: the first shuffle spreads them over values too."""
+    events = (views.process if "process" in daily.__name__ else views.network)(spark, SF_DIR)
+    text = plan_of(daily(events, bd.resolve_bounds(events), SETTINGS))
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    keys = [[k.split("#")[0].strip() for k in e.split(",")[:-1]] for e in exchanges]
+    assert len(keys) == 2
+    final, first = keys
+    assert final == ["user", "date", "period"]
+    assert "gid" in first and len(first) > 4
+    # Map-side aggregation stands below the first shuffle.
+    assert "partial_sum" in text.split("Exchange hashpartitioning")[-1] or "partial_count" in text

@@ -188,6 +188,7 @@ def number_findings(findings: DataFrame, keys: tuple[str, ...] = ("finding_type"
         .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     within = Window.partitionBy("_range").orderBy(*keys)
+    # As many offsets as ranges, that is, at most the number of shuffle partitions.
     return (
         stored.join(F.broadcast(offsets), "_range")
         .withColumn("finding_id", F.row_number().over(within) + F.col("_offset"))

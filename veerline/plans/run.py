@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Settings
 from ..operators.findings import MODEL_VERSION, STATISTICAL_VERSION, with_load_meta
 from ..operators.model import save_model
 from ..operators.reports import analysis_summary
+from ..operators.risk import stamp
 from ..sinks.tables import append_to_table
 from ..sources.tables import read_sources
 from .detection import Detection, detect
@@ -18,6 +21,7 @@ def run_detection(spark: SparkSession, settings: Settings = DEFAULT) -> tuple[De
     """Append the findings of the configured tables; returns the analysis and its summary."""
     network, process = read_sources(spark, settings)
     found = detect(network, process, settings)
+    found = replace(found, risk=stamp(found.risk))
     append_to_table(with_load_meta(found.findings, STATISTICAL_VERSION), settings.source_tables()["findings"])
     summary = analysis_summary(
         found.scored_network, found.scored_process, found.risk, found.findings, found.bounds, settings
