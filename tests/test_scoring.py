@@ -239,3 +239,17 @@ def test_rolling_baseline_excludes_the_day_itself(spark):
     daily = features.daily_network(frame(spark, steady("ann", 4, lambda i: i + 1)))
     rows = baseline.rolling_baseline(daily, 2, ("daily_events",)).orderBy("date").collect()
     assert [r["rolling_avg_daily_events"] for r in rows] == [None, 1.0, 1.5, 2.5]
+
+
+def test_sketches_change_scores_little(spark):
+    rows = steady("ann", 20, lambda i: 3 + i % 4) + steady("bob", 20, lambda i: 5 + i % 7)
+    rows += [network_row(END - timedelta(minutes=m), "ann", dest_ip=f"203.0.113.{m}") for m in range(90)]
+    nobody = spark.createDataFrame([], "user string, peer_group int")
+    events = frame(spark, rows)
+    exact = {(r["user"], r["date"]): r for r in detect(events, None, peers=nobody).scored_network.collect()}
+    near = detect(events, None, peers=nobody, approx=True).scored_network.collect()
+    assert len(near) == len(exact)
+    for row in near:
+        assert row["daily_events"] == exact[(row["user"], row["date"])]["daily_events"]
+        score = exact[(row["user"], row["date"])]["network_anomaly_score"]
+        assert row["network_anomaly_score"] == pytest.approx(score, abs=0.1)
