@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from veerline import schemas, sinks, sources
 from veerline.config import FOUR_TERM
-from veerline.functions import baseline_ratio, cef_line, is_admin_process, is_suspicious_process, parse_ocsf_ts
+from veerline.functions import (
+    baseline_ratio,
+    capped,
+    is_admin_process,
+    is_suspicious_process,
+    ladder,
+    parse_ocsf_ts,
+)
 from veerline.operators import (
     baseline,
     bounds as bd,
@@ -930,8 +937,6 @@ def _(spark, sf):
     "events_term bytes_out_term", "date",
 )
 def _(spark, sf):
-    from veerline.functions import capped
-
     return _scored(spark, sf).select(
         "user", "date", capped("events_zscore", 0.2).alias("events_term"),
         capped("bytes_out_zscore", 0.4).alias("bytes_out_term"),
@@ -984,8 +989,6 @@ def _(spark, sf):
     """,
 )
 def _(spark, sf):
-    from veerline.functions import ladder
-
     return _vectors(spark, sf).select("vec_id", ladder(F.abs("anomaly_score"), SETTINGS).alias("level"))
 
 

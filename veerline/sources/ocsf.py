@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import schemas
 from ..functions.parse import parse_ocsf_ts
 
 _ENDPOINT = (
