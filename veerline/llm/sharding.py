@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_below, store
+from .common import store
 
 #: Ranges per shard, samples per range, and rounds in which overfull ranges are cut again.
 RANGES, SAMPLES, ROUNDS = 32, 32, 4
