@@ -9,14 +9,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from checks.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
 ).split()
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
