@@ -33,9 +33,11 @@ def templates(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Adds ``raw`` (marked tokens) and ``h`` (hashes of all windows of template tokens; a short text has one)."""
     template = """transform(raw, x -> CASE WHEN x LIKE '@%' THEN '@' WHEN x LIKE '#%' OR x IN ('%', '$', '€', '£') THEN '#'
         WHEN x >= '0' AND x < ':' THEN '0' ELSE lower(x) END)"""
-    tokens = rows.select(*keys, marked(F.col("text")).alias("raw")).select("*", F.expr(template).alias("t"))
-    hashes = f"""CASE WHEN size(t) >= {WINDOW} THEN transform(sequence(1, size(t) - {WINDOW} + 1), i -> xxhash64(slice(t, i, {WINDOW})))
-        WHEN size(t) > 0 THEN array(xxhash64(t, 'whole')) ELSE array() END"""
+    tokens = rows.select(*keys, marked(F.col("text")).alias("raw"))
+    # The tokens are bound once: the optimizer would otherwise put their computation into the loop over windows.
+    hashes = f"""element_at(transform(array({template}), t -> CASE
+        WHEN size(t) >= {WINDOW} THEN transform(sequence(1, size(t) - {WINDOW} + 1), i -> xxhash64(slice(t, i, {WINDOW})))
+        WHEN size(t) > 0 THEN array(xxhash64(t, 'whole')) ELSE array() END), 1)"""
     return tokens.select(*keys, "raw", F.expr(hashes).alias("h"))
 
 
