@@ -67,9 +67,10 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.array_remove(F.split("t", SEPARATORS), "").alias("w"),
         F.filter(F.split("t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    windows = """CASE WHEN size(w) > 2 THEN sort_array(transform(sequence(1, size(w) - 2),
+    # Arrays are bound once: the optimizer would otherwise put their computation into the loops over them.
+    windows = """element_at(transform(array(w), w -> CASE WHEN size(w) > 2 THEN sort_array(transform(sequence(1, size(w) - 2),
         i -> named_struct('h', xxhash64(get(w, i - 1), get(w, i), get(w, i + 1)), 'i', i)))
-        ELSE array() END"""
+        ELSE array() END), 1)"""
     counted = spread.select(
         key,
         "t",
@@ -79,9 +80,9 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
         F.expr(windows).alias("s"),
     )
-    repeated = """size(array_distinct(flatten(transform(
+    repeated = """element_at(transform(array(s), s -> CASE WHEN size(s) > 1 THEN size(array_distinct(flatten(transform(
         filter(sequence(0, size(s) - 1), k -> s[k].h = get(s, k - 1).h OR s[k].h = get(s, k + 1).h),
-        k -> array(s[k].i, s[k].i + 1, s[k].i + 2)))))"""
+        k -> array(s[k].i, s[k].i + 1, s[k].i + 2))))) ELSE 0 END), 1)"""
     counts = counted.select(
         key,
         "n_words",
@@ -89,7 +90,7 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         "n_letter_words",
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.expr(f"CASE WHEN size(s) > 1 THEN {repeated} ELSE 0 END").cast("long").alias("n_repeat_words"),
+        F.expr(repeated).cast("long").alias("n_repeat_words"),
         F.regexp_count(F.lower("t"), F.lit(rf"(?<![^\x20\x09-\x0D])(?:{stops})(?![^\x20\x09-\x0D])"))
         .cast("long").alias("n_stop_words"),
         F.regexp_count("t", F.lit(r"\p{L}")).cast("long").alias("n_letters"),

@@ -86,7 +86,7 @@ def _quality_sql() -> str:
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT n, doc_id, t, regexp_extract_all(t, '{sep}+') AS w,
-    list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{sep}')) AS lines FROM d),
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{sep}')) AS lines FROM d),
 g AS (SELECT n, i, w[i] || chr(32) || w[i + 1] || chr(32) || w[i + 2] AS g
     FROM (SELECT n, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 r AS (SELECT n, count(DISTINCT p) AS n_repeat_words FROM (
@@ -95,12 +95,12 @@ r AS (SELECT n, count(DISTINCT p) AS n_repeat_words FROM (
 c AS (SELECT n, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
-    len(list_filter(w, x -> regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
-    len(list_filter(w, x -> list_contains([{stops}], lower(x)))) AS n_stop_words,
+    len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
+    len(list_filter(w, lambda x: list_contains([{stops}], lower(x)))) AS n_stop_words,
     len(regexp_extract_all(t, '\p{{L}}')) AS n_letters, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
     len(lines) AS n_lines,
-    len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis,
-    len(list_filter(lines, x -> regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet FROM w),
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) AS n_bullet FROM w),
 m AS (SELECT c.*, coalesce(r.n_repeat_words, 0) AS n_repeat_words,
     coalesce(word_chars / nullif(n_words, 0), 0) AS mean_word_chars,
     coalesce(n_symbols / nullif(n_words, 0), 0) AS symbols_per_word,
