@@ -1423,23 +1423,37 @@ def _(spark, sf):
     return _open_context(fd.process_findings(d.scored_process, d.risk, d.bounds, SETTINGS))
 
 
-@check(
-    "g3_model_findings",
-    """
-    SELECT finding_id, event_time, "user", finding_type, severity,
-           'Anomalous Network Behavior - ' || "user" AS title,
+MODEL_FINDINGS_SQL = """
+    SELECT sha256('ueba_network_anomaly_detection_mlflow|' || "user" || '|' || CAST(CAST(event_time AS DATE) AS VARCHAR)) AS finding_id,
+           event_time, "user", finding_type, severity, 'Anomalous Network Behavior - ' || "user" AS title,
            'User ' || "user" || ' (Peer Group ' || CAST(peer_group AS VARCHAR)
              || ') exhibited unusual network activity' AS description,
            risk_score, risk_level, 'ueba_network_anomaly_detection_mlflow' AS analytic_name, analytic_type,
            recommended_actions, 'run-1' AS model_version
-    FROM net_find ORDER BY risk_score DESC, "user", event_time LIMIT 100
-    """,
+    FROM net_find"""
+
+
+def _model_findings(spark, sf, limit):
+    d = _detect(spark, sf)
+    found = fd.network_findings(d.scored_network, d.risk, d.bounds, SETTINGS, limit, "run-1")
+    return found.drop("peer_group", "network_evidence", "context")
+
+
+@check(
+    "g3_model_findings",
+    MODEL_FINDINGS_SQL,
     "risk_score", times="event_time",
 )
 def _(spark, sf):
-    d = _detect(spark, sf)
-    found = fd.network_findings(d.scored_network, d.risk, d.bounds, SETTINGS, 100, "run-1")
-    return found.drop("peer_group", "network_evidence", "context")
+    return _model_findings(spark, sf, None)
+
+
+@check(
+    "i7_top_model_findings", MODEL_FINDINGS_SQL + ' ORDER BY risk_score DESC, "user", event_time LIMIT 100',
+    "risk_score", times="event_time",
+)
+def _(spark, sf):
+    return _model_findings(spark, sf, 100)
 
 
 @check("g4_recommended_actions", "SELECT finding_id, recommended_actions FROM find")
@@ -1612,7 +1626,7 @@ def _(spark, sf):
     SELECT 'CEF:0|veerline|anomaly|1.0|' || finding_type || '|' || title || '|'
              || CASE severity WHEN 'CRITICAL' THEN '10' WHEN 'HIGH' THEN '8' WHEN 'MEDIUM' THEN '5' ELSE '3' END
              || '|externalId=' || finding_id || ' suser=' || "user"
-             || ' rt=' || strftime(event_time, '%Y-%m-%d %H:%M:%S')
+             || ' rt=' || CAST(epoch_ms(event_time) AS VARCHAR)
              || ' cn1Label=risk_score cn1=' || printf('%.6f', risk_score) || ' msg=' || description AS value
     FROM find
     """,

@@ -9,6 +9,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import checks.queries  # noqa: F401  (registers the checks)
 from checks.registry import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")

@@ -15,17 +15,19 @@ def finding_id(finding_type: str, user: Column | str = "user", date: Column | st
 
 
 def _header(value: Column) -> Column:
-    return F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    return F.regexp_replace(escaped, r"[\r\n]+", " ")
 
 
 def _extension(value: Column) -> Column:
-    return F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("="), F.lit("\\="))
+    escaped = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("="), F.lit("\\="))
+    return F.replace(F.replace(escaped, F.lit("\r"), F.lit("\\r")), F.lit("\n"), F.lit("\\n"))
 
 
 def cef_line(vendor: str = "veerline", product: str = "anomaly", version: str = "1.0") -> Column:
     """One CEF line per finding row."""
     severity = F.coalesce(
-        *[F.when(F.col("severity") == level, F.lit(str(n))) for level, n in CEF_SEVERITY.items()],
+        *[F.when(F.upper("severity") == level, F.lit(str(n))) for level, n in CEF_SEVERITY.items()],
         F.lit("0"),
     )
     header = F.concat_ws(
@@ -37,7 +39,7 @@ def cef_line(vendor: str = "veerline", product: str = "anomaly", version: str =
         " ",
         F.concat(F.lit("externalId="), _extension(F.col("finding_id"))),
         F.concat(F.lit("suser="), _extension(F.col("user"))),
-        F.concat(F.lit("rt="), F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")),
+        F.concat(F.lit("rt="), F.unix_millis(F.col("event_time").cast("timestamp")).cast("string")),
         F.concat(F.lit("cn1Label=risk_score cn1="), F.format_string("%.6f", F.col("risk_score"))),
         F.concat(F.lit("msg="), _extension(F.col("description"))),
     )

@@ -68,7 +68,8 @@ def network_findings(
 ) -> DataFrame:
     """Network findings; with ``model_version`` those of a model run, whose texts are shorter.
 
-    ``limit`` keeps the highest scores (a model run reports a fixed number of findings).
+    ``limit`` keeps the highest scores. Ids of model findings carry the name of their analytic, so that both
+    kinds can be appended to one table.
     """
     rows = with_user_level(anomalous(scored, "network_anomaly_score", settings), risk)
     if limit is not None:
@@ -95,7 +96,7 @@ def network_findings(
         (F.col("after_hours_anomaly") > 0).alias("after_hours"),
     )
     columns = [
-        finding_id("network_anomaly").alias("finding_id"),
+        finding_id("network_anomaly" if model_version is None else analytic).alias("finding_id"),
         _midnight().alias("event_time"),
         who,
         F.lit("network_anomaly").alias("finding_type"),

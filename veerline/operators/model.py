@@ -164,16 +164,15 @@ def train_model(features: DataFrame, settings: Settings = DEFAULT) -> RiskModel:
 
 def score_batch(df: DataFrame, model: RiskModel, settings: Settings = DEFAULT) -> DataFrame:
     """Score a table of feature rows, stored or streaming, without a shuffle."""
-    ready = standardize(ensure_features(ensure_ids(df), model.columns), model.columns, model.scaler)
-    if "peer_group" in df.columns:
-        group = F.col("peer_group").cast("int")
-    else:
-        group = F.lit(-1)
+    group = F.coalesce(F.col("peer_group").cast("int"), F.lit(-1)) if "peer_group" in df.columns else F.lit(-1)
+    # An absent group enters the model as 0, as in training; the result shows it as -1.
+    filled = ensure_ids(ensure_features(df.withColumn("_group", group), model.columns))
+    ready = standardize(filled, model.columns, model.scaler)
     forest = load_trees(model.nodes, settings)
     scored = ready.withColumn("anomaly_score", isolation_score(forest, [f"std_{c}" for c in model.columns]))
     flagged = flag_anomalies(scored, model.threshold)
     return model_risk(flagged, (model.score_min, model.score_max), settings).select(
-        "user", "is_anomaly", "anomaly_score", "risk_score", "risk_level", group.alias("peer_group")
+        "user", "is_anomaly", "anomaly_score", "risk_score", "risk_level", F.col("_group").alias("peer_group")
     )
 
 

@@ -26,7 +26,7 @@ def train(
     settings: Settings = DEFAULT,
     peers: DataFrame | None = None,
     model_version: str = "unversioned",
-    findings_limit: int | None = 100,
+    findings_limit: int | None = None,
 ) -> Training:
     settings = settings.with_(profile=FOUR_TERM)
     detection = detect(network, None, settings, peers)
