@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import store
 
 SIMILARITY, WORDS, RECALL, HASHES = 0.8, 5, 0.999, 128
+#: Rounds in which a bucket that is still in several parts is compared with another of its members.
+ROUNDS = 3
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -121,7 +123,8 @@ def ngram_join(
     class of copies (``exact_id``: its smallest key, ``n_copies``: its rows). Representatives that share a
     band are linked if the Jaccard similarity of their full sets is at least ``similarity``; ``class_id`` is
     the smallest key of everything that links connect. First every member of a band's bucket is verified
-    against the bucket's first one; then all pairs of a bucket that are still unconnected are. Pairs which are
+    against the bucket's first one, then in a few rounds those not connected to it against another member, and
+    last all pairs of a bucket that are still unconnected. Pairs which are
     connected already need no check for the class, so a group of near copies costs as many pairs as it has
     members; ``n_links`` counts the copies and the verified links of a row.
 
@@ -142,20 +145,25 @@ def ngram_join(
     nodes = star.select(F.col("a").alias("k")).union(star.select("b")).distinct()
     wanted = reps.join(nodes, "k").select("n")
     sets = store(signed.join(wanted, "n").select("k", "grams"), "join-sets")
-    links = _check(star, sets, similarity, "join-links")
-    known = components(links)
-    placed = store(
-        members.join(known.withColumnRenamed("k", "kk"), F.col("k") == F.col("kk"), "left")
-        .select("b", "k", F.coalesce("c", "k").alias("c")), "join-placed",
-    )
-    open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("b")
-    rest = store(placed.join(open_, "b"), "join-open")
-    other = rest.select(F.col("b"), F.col("k").alias("k2"), F.col("c").alias("c2"))
-    crossed = rest.join(other, "b").filter("c < c2").select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b")).distinct()
-    fresh = store(crossed.join(star, ["a", "b"], "left_anti"), "join-crossed")
-    more = _check(fresh, sets, similarity, "join-more")
-    links = links.union(more)
+    tested, links = star, _check(star, sets, similarity, "join-links")
     known = components(links)
+    for turn in range(ROUNDS + 1):
+        named = known.withColumnRenamed("k", "kk")
+        placed = members.join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
+        placed = store(placed, "join-placed")
+        lead = F.min_by(F.struct("k", "c"), F.xxhash64("k", "b", F.lit(turn))).alias("lead")
+        open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo != hi")
+        if turn < ROUNDS:
+            open_ = open_.select("b", F.col("lead.k").alias("k2"), F.col("lead.c").alias("c2"))
+            met = placed.join(open_, "b").filter("c != c2")
+        else:
+            rest = store(placed.join(open_.select("b"), "b"), "join-open")
+            other = rest.select("b", F.col("k").alias("k2"), F.col("c").alias("c2"))
+            met = rest.join(other, "b").filter("c < c2")
+        pairs = met.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b")).distinct()
+        fresh = store(pairs.join(tested, ["a", "b"], "left_anti"), "join-crossed")
+        tested, links = tested.union(fresh), links.union(_check(fresh, sets, similarity, "join-more"))
+        known = components(links)
     tied = links.select(F.col("a").alias("k"), F.col("b").alias("o")).union(links.select("b", "a"))
     sizes = reps.select(F.col("k").alias("o"), F.col("copies").alias("oc"))
     counted = tied.join(sizes, "o").groupBy("k").agg(F.sum("oc").alias("links"))
