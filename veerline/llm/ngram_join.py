@@ -8,14 +8,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
 
 SIMILARITY, WORDS, RECALL, HASHES = 0.8, 5, 0.999, 128
 #: Rounds in which a bucket that is still in several parts is compared with another of its members.
-ROUNDS = 3
+ROUNDS = 1
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -99,6 +99,30 @@ def _check(pairs: DataFrame, sets: DataFrame, similarity: float, label: str) ->
     return store(both.mapInArrow(partial(_verify, similarity=similarity), "a string, b string, similarity double"), label)
 
 
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            grams = np.frombuffer(batch.column(1)[i].as_buffer(), "uint32").astype("int64")
+            keys = pa.array([batch.column(0)[i].as_py()] * len(grams), pa.string())
+            yield pa.RecordBatch.from_arrays([keys, pa.array(grams)], ["k", "g"])
+
+
+def _alone(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k, size, alone): n-grams of each member of an open bucket, and how many of them no other such member has."""
+    held = store(sets.join(rest.select("k").distinct(), "k"), "join-open-sets")
+    single = held.mapInArrow(_explode, "k string, g long").groupBy("g").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("n"))
+    counted = single.filter("n = 1").groupBy("k").agg(F.count(F.lit(1)).alias("alone"))
+    sizes = held.select("k", (F.octet_length("grams") / 4).cast("long").alias("size"))
+    return store(sizes.join(counted, "k", "left").select("k", "size", F.coalesce("alone", F.lit(0)).alias("alone")), "join-alone")
+
+
+def _may_match(similarity: float) -> Column:
+    """Whether two members x and y of different parts can be similar: n-grams that only one has are not shared."""
+    both = F.least(F.col("x.size") - F.col("x.alone"), F.col("y.size") - F.col("y.alone"))
+    either = F.greatest(F.col("x.size") + F.col("y.alone"), F.col("y.size") + F.col("x.alone"))
+    return (F.col("x.c") != F.col("y.c")) & (both >= either * (similarity - 1e-9))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(k, c): the smallest node that can be reached; labels are passed on and shortened until none changes."""
     both = store(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "join-edges")
@@ -123,10 +147,12 @@ def ngram_join(
     class of copies (``exact_id``: its smallest key, ``n_copies``: its rows). Representatives that share a
     band are linked if the Jaccard similarity of their full sets is at least ``similarity``; ``class_id`` is
     the smallest key of everything that links connect. First every member of a band's bucket is verified
-    against the bucket's first one, then in a few rounds those not connected to it against another member, and
-    last all pairs of a bucket that are still unconnected. Pairs which are
-    connected already need no check for the class, so a group of near copies costs as many pairs as it has
-    members; ``n_links`` counts the copies and the verified links of a row.
+    against the bucket's first one. Of buckets that are still in several parts those members are left out that
+    cannot be similar to any other, since too many of their n-grams stand nowhere else in such buckets. The rest
+    meets another member of the bucket, and last the members outside a bucket's main part meet all others that
+    they can still be similar to by these counts. Pairs which are connected already need no check for the class,
+    so a group of near copies costs about as many pairs as it has members; ``n_links`` counts the copies and the
+    verified links of a row.
 
     Null and empty texts have no n-grams and are copies of each other; fewer than n words make one n-gram;
     null keys stay null in the key and are left out of the smallest; repeated rows are copies; an empty table
@@ -147,23 +173,40 @@ def ngram_join(
     sets = store(signed.join(wanted, "n").select("k", "grams"), "join-sets")
     tested, links = star, _check(star, sets, similarity, "join-links")
     known = components(links)
+    rest, alone = members, None
     for turn in range(ROUNDS + 1):
         named = known.withColumnRenamed("k", "kk")
-        placed = members.join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
-        placed = store(placed, "join-placed")
-        lead = F.min_by(F.struct("k", "c"), F.xxhash64("k", "b", F.lit(turn))).alias("lead")
-        open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), lead).filter("lo != hi")
+        placed = rest.join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
+        open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("b")
+        rest = store(placed.join(open_, "b"), "join-open")
+        if alone is None:
+            alone = _alone(rest, sets)
+            fit = alone.filter(F.col("size") - F.col("alone") >= F.col("size") * (similarity - 1e-9))
+            rest = store(rest.join(fit, "k").select("b", "k", "c", "size", "alone"), "join-open")
+        else:
+            rest = rest.join(alone, "k").select("b", "k", "c", "size", "alone")
+        one = rest.select("b", F.struct("k", "c", "size", "alone").alias("x"))
         if turn < ROUNDS:
-            open_ = open_.select("b", F.col("lead.k").alias("k2"), F.col("lead.c").alias("c2"))
-            met = placed.join(open_, "b").filter("c != c2")
+            heads = one.groupBy("b").agg(F.min_by("x", F.xxhash64("x.k", "b")).alias("y"))
+            other = heads.join(one, "b").filter(_may_match(similarity))
         else:
-            rest = store(placed.join(open_.select("b"), "b"), "join-open")
-            other = rest.select("b", F.col("k").alias("k2"), F.col("c").alias("c2"))
-            met = rest.join(other, "b").filter("c < c2")
-        pairs = met.select(F.least("k", "k2").alias("a"), F.greatest("k", "k2").alias("b")).distinct()
+            common = rest.groupBy("b", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("b").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
+            lists = rest.groupBy("k").agg(F.collect_list("b").alias("bs"))
+            listed = store(rest.join(lists, "k").join(common, "b").select("b", "main", F.struct("k", "c", "size", "alone", "bs").alias("x")), "join-rest")
+            small = listed.filter("x.c != main").select("b", F.col("x").alias("y"))
+            # A pair comes up once: in the least bucket that both share, and from one side.
+            other = small.join(
+                listed.select("b", "main", "x"),
+                (small["b"] == listed["b"]) & _may_match(similarity) & F.expr("(x.c = main OR x.c < y.c)")
+                & (small["b"] == F.array_min(F.array_intersect("x.bs", "y.bs"))),
+            )
+        pairs = other.select(F.least("x.k", "y.k").alias("a"), F.greatest("x.k", "y.k").alias("b")).distinct()
         fresh = store(pairs.join(tested, ["a", "b"], "left_anti"), "join-crossed")
+        if fresh.isEmpty():
+            continue
         tested, links = tested.union(fresh), links.union(_check(fresh, sets, similarity, "join-more"))
         known = components(links)
+        rest = rest.select("b", "k")
     tied = links.select(F.col("a").alias("k"), F.col("b").alias("o")).union(links.select("b", "a"))
     sizes = reps.select(F.col("k").alias("o"), F.col("copies").alias("oc"))
     counted = tied.join(sizes, "o").groupBy("k").agg(F.sum("oc").alias("links"))
