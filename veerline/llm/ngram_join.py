@@ -176,7 +176,7 @@ def ngram_join(
     rest, alone = members, None
     for turn in range(ROUNDS + 1):
         named = known.withColumnRenamed("k", "kk")
-        placed = rest.join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
+        placed = rest.select("b", "k").join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
         open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("b")
         rest = store(placed.join(open_, "b"), "join-open")
         if alone is None:
@@ -206,7 +206,6 @@ def ngram_join(
             continue
         tested, links = tested.union(fresh), links.union(_check(fresh, sets, similarity, "join-more"))
         known = components(links)
-        rest = rest.select("b", "k")
     tied = links.select(F.col("a").alias("k"), F.col("b").alias("o")).union(links.select("b", "a"))
     sizes = reps.select(F.col("k").alias("o"), F.col("copies").alias("oc"))
     counted = tied.join(sizes, "o").groupBy("k").agg(F.sum("oc").alias("links"))
