@@ -138,6 +138,37 @@ def test_join_against_all_pairs(spark):
     assert len(kept) == len({top(i) for i in range(len(texts))})
 
 
+@pytest.mark.parametrize("block", [256, 16])
+def test_join_counts_every_link_between_different_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", block)
+    texts = []
+    for group, m in ((0, 60), (1, 2), (2, 9)):
+        base = words(300 + group, 200).split()
+        for j in range(m):
+            # One word of 200 differs: any two of a group have a similarity of at least 0.9.
+            texts.append(" ".join([*base[: 10 + 3 * j], f"other{j}", *base[11 + 3 * j :]]))
+    texts += [texts[0]] * 3 + [texts[65]] + [words(400, 50), ""]
+    sets = jaccard_classes(texts)
+    links = [0] * len(texts)
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] == sets[b] or both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                links[a] += 1
+                links[b] += 1
+    found = {x.doc_id: x.n_links for x in ngram_join.ngram_join(table(spark, [(i, t, "a") for i, t in enumerate(texts)])).collect()}
+    assert [found[i] for i in range(len(texts))] == links
+    assert links[0] == links[59] == 62 and links[60] == 1
+
+
+def test_shared_grams_of_many_pairs_are_exact(monkeypatch):
+    monkeypatch.setattr(ngram_join, "WIDTH", 64)
+    r = np.random.default_rng(7)
+    sets = [np.unique(r.integers(0, 900, int(r.integers(1, 600)))).astype("uint32") for _ in range(30)]
+    x, y = np.triu_indices(30, 1)
+    assert ngram_join._shared(sets, x, y).tolist() == [len(set(sets[a]) & set(sets[b])) for a, b in zip(x, y)]
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_for()
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8**rows) ** bands >= ngram_join.RECALL

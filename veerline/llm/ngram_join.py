@@ -8,14 +8,16 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import store
 
 SIMILARITY, WORDS, RECALL, HASHES = 0.8, 5, 0.999, 128
-#: Rounds in which a bucket that is still in several parts is compared with another of its members.
-ROUNDS = 1
+#: Buckets with more members, or more bytes of n-grams, are split into blocks that meet two by two.
+BLOCK_ROWS, BLOCK_BYTES = 256, 4 << 20
+#: Columns of the table of n-grams that is multiplied at a time, and rows that are sent back at a time.
+WIDTH, SENT = 4096, 8192
 
 
 def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -76,51 +78,120 @@ def _sign(batches: Iterator[pa.RecordBatch], bands: int, rows: int, n: int) -> I
         )
 
 
-def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of one pair of blocks (b, i, j) at a time, of batches that are sorted by these columns."""
+    held, last = [], None
     for batch in batches:
-        keep, scores = [], []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(a.as_buffer(), "uint32"), np.frombuffer(b.as_buffer(), "uint32")
-            least, most = sorted((len(x), len(y)))
-            both = len(np.intersect1d(x, y, assume_unique=True)) if least >= similarity * most else 0
-            scores.append(both / (len(x) + len(y) - both))
-            keep.append(scores[-1] >= similarity)
-        mask = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).filter(mask), batch.column(1).filter(mask), pa.array(scores, pa.float64()).filter(mask)],
-            ["a", "b", "similarity"],
-        )
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in ("b", "i", "j")])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for low, high in zip(cuts, cuts[1:]):
+            now = tuple(keys[:, low].tolist())
+            if held and now != last:
+                yield _joined(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = now
+    if held:
+        yield _joined(held)
 
 
-def _check(pairs: DataFrame, sets: DataFrame, similarity: float, label: str) -> DataFrame:
-    left = sets.select(F.col("k").alias("a"), F.col("grams").alias("_x"))
-    right = sets.select(F.col("k").alias("b"), F.col("grams").alias("_y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "_x", "_y")
-    return store(both.mapInArrow(partial(_verify, similarity=similarity), "a string, b string, similarity double"), label)
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            grams = np.frombuffer(batch.column(1)[i].as_buffer(), "uint32").astype("int64")
-            keys = pa.array([batch.column(0)[i].as_py()] * len(grams), pa.string())
-            yield pa.RecordBatch.from_arrays([keys, pa.array(grams)], ["k", "g"])
+def _sent(rows: Iterator[list[np.ndarray]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    held, n = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*held)], names)
+
+    for row in rows:
+        held.append(row)
+        n += len(row[0])
+        if n >= SENT:
+            yield batch()
+            held, n = [], 0
+    if n:
+        yield batch()
+
+
+def _pairs(group: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows that this pair of blocks has to verify.
+
+    A pair comes up in the first band that both rows share, and only if the sizes of its sets allow the similarity.
+    """
+    part, size = group.column("p").to_numpy(), group.column("size").to_numpy()
+    bands = group.column("bands").flatten().to_numpy().reshape(len(part), -1)
+    x, y = np.triu_indices(len(part), 1)
+    fit = np.minimum(size[x], size[y]) >= np.maximum(size[x], size[y]) * (similarity - 1e-9)
+    if group.column("i")[0].as_py() != group.column("j")[0].as_py():
+        fit &= part[x] != part[y]
+    x, y = x[fit], y[fit]
+    for column in bands[:, : int((bands[0] == group.column("b")[0].as_py()).argmax())].T:
+        new = column[x] != column[y]
+        x, y = x[new], y[new]
+    return x, y
 
 
-def _alone(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """(k, size, alone): n-grams of each member of an open bucket, and how many of them no other such member has."""
-    held = store(sets.join(rest.select("k").distinct(), "k"), "join-open-sets")
-    single = held.mapInArrow(_explode, "k string, g long").groupBy("g").agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("n"))
-    counted = single.filter("n = 1").groupBy("k").agg(F.count(F.lit(1)).alias("alone"))
-    sizes = held.select("k", (F.octet_length("grams") / 4).cast("long").alias("size"))
-    return store(sizes.join(counted, "k", "left").select("k", "size", F.coalesce("alone", F.lit(0)).alias("alone")), "join-alone")
+def _needed(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """The rows of each pair of blocks that have a pair to verify there."""
 
+    def rows() -> Iterator[list[np.ndarray]]:
+        for group in _groups(batches):
+            at = np.unique(np.concatenate(_pairs(group, similarity)))
+            if len(at):
+                yield [group.column(c).to_numpy()[at] for c in ("b", "i", "j", "p", "n")]
 
-def _may_match(similarity: float) -> Column:
-    """Whether two members x and y of different parts can be similar: n-grams that only one has are not shared."""
-    both = F.least(F.col("x.size") - F.col("x.alone"), F.col("y.size") - F.col("y.alone"))
-    either = F.greatest(F.col("x.size") + F.col("y.alone"), F.col("y.size") + F.col("x.alone"))
-    return (F.col("x.c") != F.col("y.c")) & (both >= either * (similarity - 1e-9))
+    return _sent(rows(), ["b", "i", "j", "p", "n"])
+
+
+def _shared(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many n-grams the sets x and y have in common."""
+    if len(x) <= 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(x, y)], "int64")
+    who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = times > 1
+    held = often[at]
+    who, at = who[held], (np.cumsum(often) - 1)[at[held]]
+    order = np.argsort(at, kind="stable")
+    who, at = who[order], at[order]
+    both = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(often.sum()), WIDTH):
+        first, end = np.searchsorted(at, [low, low + WIDTH])
+        table = np.zeros((len(sets), WIDTH), "float32")
+        table[who[first:end], at[first:end] - low] = 1
+        both += table @ table.T
+    return both[x, y].astype("int64")
+
+
+def _link(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Per pair of blocks and row with a link there: the rows at the other ends, and the least row reached."""
+
+    def rows() -> Iterator[list[np.ndarray]]:
+        for group in _groups(batches):
+            x, y = _pairs(group, similarity)
+            sets = [np.frombuffer(g.as_buffer(), "uint32") for g in group.column("grams")]
+            n, copies, size = (group.column(c).to_numpy() for c in ("n", "copies", "size"))
+            both = _shared(sets, x, y)
+            alike = both / (size[x] + size[y] - both) >= similarity
+            x, y = x[alike], y[alike]
+            if not len(x):
+                continue
+            links, least, before = np.zeros(len(n), "int64"), n.copy(), None
+            np.add.at(links, x, copies[y])
+            np.add.at(links, y, copies[x])
+            while before is None or (least != before).any():
+                before = least.copy()
+                low = np.minimum(least[x], least[y])
+                np.minimum.at(least, x, low)
+                np.minimum.at(least, y, low)
+            tied = links > 0
+            yield [n[tied], links[tied], least[tied]]
+
+    return _sent(rows(), ["n", "links", "least"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -138,6 +209,10 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _by_blocks(df: DataFrame) -> DataFrame:
+    return df.repartition("b", "i", "j").sortWithinPartitions("b", "i", "j")
+
+
 def ngram_join(
     docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, n: int = WORDS
 ) -> DataFrame:
@@ -146,13 +221,12 @@ def ngram_join(
     Words are runs of letters, digits and underscores in lower case. Texts with equal sets of n-grams are one
     class of copies (``exact_id``: its smallest key, ``n_copies``: its rows). Representatives that share a
     band are linked if the Jaccard similarity of their full sets is at least ``similarity``; ``class_id`` is
-    the smallest key of everything that links connect. First every member of a band's bucket is verified
-    against the bucket's first one. Of buckets that are still in several parts those members are left out that
-    cannot be similar to any other, since too many of their n-grams stand nowhere else in such buckets. The rest
-    meets another member of the bucket, and last the members outside a bucket's main part meet all others that
-    they can still be similar to by these counts. Pairs which are connected already need no check for the class,
-    so a group of near copies costs about as many pairs as it has members; ``n_links`` counts the copies and the
-    verified links of a row.
+    the smallest key of everything that links connect, and ``n_links`` counts the other rows that are copies of a
+    row or linked to it. Every such pair is verified, and only once: in the first band that both share. Large
+    buckets are dealt into blocks that meet two by two, so that no task has a bucket's pairs alone and no pair is
+    a row of its own: a pair of blocks gives each of its members one row, with the count of links. A group of m
+    similar texts costs at most m * m / 256 rows in each band (ids, and n-grams where a pair is new there), and
+    m * m / 2 comparisons in all.
 
     Null and empty texts have no n-grams and are copies of each other; fewer than n words make one n-gram;
     null keys stay null in the key and are left out of the smallest; repeated rows are copies; an empty table
@@ -164,51 +238,23 @@ def ngram_join(
     schema = "n long, id long, k string, grams binary, bands array<long>"
     signed = store(named.select("n", "id", words.alias("w")).mapInArrow(partial(_sign, bands=bands, rows=rows, n=n), schema), "join-signed")
     reps = store(signed.groupBy("k").agg(F.min("n").alias("n"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "join-reps")
-    marks = signed.select("k", F.explode("bands").alias("b")).distinct()
-    buckets = marks.groupBy("b").agg(F.min("k").alias("first"), F.count(F.lit(1)).alias("m")).filter("m > 1").select("b", "first")
-    members = store(marks.join(buckets, "b"), "join-buckets")
-    star = store(members.filter("k != first").select(F.col("first").alias("a"), F.col("k").alias("b")).distinct(), "join-star")
-    nodes = star.select(F.col("a").alias("k")).union(star.select("b")).distinct()
-    wanted = reps.join(nodes, "k").select("n")
-    sets = store(signed.join(wanted, "n").select("k", "grams"), "join-sets")
-    tested, links = star, _check(star, sets, similarity, "join-links")
-    known = components(links)
-    rest, alone = members, None
-    for turn in range(ROUNDS + 1):
-        named = known.withColumnRenamed("k", "kk")
-        placed = rest.select("b", "k").join(named, F.col("k") == F.col("kk"), "left").select("b", "k", F.coalesce("c", "k").alias("c"))
-        open_ = placed.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("b")
-        rest = store(placed.join(open_, "b"), "join-open")
-        if alone is None:
-            alone = _alone(rest, sets)
-            fit = alone.filter(F.col("size") - F.col("alone") >= F.col("size") * (similarity - 1e-9))
-            rest = store(rest.join(fit, "k").select("b", "k", "c", "size", "alone"), "join-open")
-        else:
-            rest = rest.join(alone, "k").select("b", "k", "c", "size", "alone")
-        one = rest.select("b", F.struct("k", "c", "size", "alone").alias("x"))
-        if turn < ROUNDS:
-            heads = one.groupBy("b").agg(F.min_by("x", F.xxhash64("x.k", "b")).alias("y"))
-            other = heads.join(one, "b").filter(_may_match(similarity))
-        else:
-            common = rest.groupBy("b", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("b").agg(F.max_by("c", F.struct("m", "c")).alias("main"))
-            lists = rest.groupBy("k").agg(F.collect_list("b").alias("bs"))
-            listed = store(rest.join(lists, "k").join(common, "b").select("b", "main", F.struct("k", "c", "size", "alone", "bs").alias("x")), "join-rest")
-            small = listed.filter("x.c != main").select("b", F.col("x").alias("y"))
-            # A pair comes up once: in the least bucket that both share, and from one side.
-            other = small.join(
-                listed.select("b", "main", "x"),
-                (small["b"] == listed["b"]) & _may_match(similarity) & F.expr("(x.c = main OR x.c < y.c)")
-                & (small["b"] == F.array_min(F.array_intersect("x.bs", "y.bs"))),
-            )
-        pairs = other.select(F.least("x.k", "y.k").alias("a"), F.greatest("x.k", "y.k").alias("b")).distinct()
-        fresh = store(pairs.join(tested, ["a", "b"], "left_anti"), "join-crossed")
-        if fresh.isEmpty():
-            continue
-        tested, links = tested.union(fresh), links.union(_check(fresh, sets, similarity, "join-more"))
-        known = components(links)
-    tied = links.select(F.col("a").alias("k"), F.col("b").alias("o")).union(links.select("b", "a"))
-    sizes = reps.select(F.col("k").alias("o"), F.col("copies").alias("oc"))
-    counted = tied.join(sizes, "o").groupBy("k").agg(F.sum("oc").alias("links"))
+    size = (F.octet_length("grams") / 4).cast("long").alias("size")
+    sized = signed.filter("size(bands) > 0").select("n", size, "bands").join(reps.select("n"), "n")
+    marks = sized.select("n", "size", F.explode("bands").alias("b"))
+    split = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_ROWS, F.sum("size") * 4 / BLOCK_BYTES)).alias("parts")
+    buckets = marks.groupBy("b").agg(F.count(F.lit(1)).alias("m"), split).filter("m > 1").select("b", "parts")
+    placed = store(marks.select("n", "b").join(buckets, "b").withColumn("p", F.expr("pmod(xxhash64(n, b), parts)")), "join-buckets")
+    # Each member goes to the pairs of blocks that its own block is in.
+    met = placed.join(sized, "n").select("n", "size", "bands", "b", "p", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("q"))
+    dealt = met.select("b", F.least("p", "q").alias("i"), F.greatest("p", "q").alias("j"), "p", "n", "size", "bands")
+    needed = store(_by_blocks(dealt).mapInArrow(partial(_needed, similarity=similarity), "b long, i long, j long, p long, n long"), "join-needed")
+    whole = signed.join(reps.join(needed.select("n").distinct(), "n").select("n", "copies"), "n")
+    sets = needed.join(store(whole.select("n", "copies", size, "bands", "grams"), "join-sets"), "n")
+    links = store(_by_blocks(sets).mapInArrow(partial(_link, similarity=similarity), "n long, links long, least long"), "join-links")
+    named = reps.select("k", "n")
+    known = components(links.filter("n != least").select(F.col("n").alias("a"), F.col("least").alias("b")).distinct())
+    known = known.withColumnRenamed("k", "n").join(named, "n").select("k", "c")
+    counted = links.groupBy("n").agg(F.sum("links").alias("links")).join(named, "n").select("k", "links")
     groups = known.join(reps.select("k", "id"), "k").groupBy("c").agg(F.min("id").alias("class"))
     linked = known.join(groups, "c").join(counted, "k").select("k", "class", "links")
     table = store(
