@@ -1613,6 +1613,23 @@ def _(spark, sf):
     return sinks.append_findings(found, path)
 
 
+@check(
+    "l2_append_raised",
+    "SELECT * FROM find WHERE CAST(event_time AS DATE) = (SELECT CAST(analysis_end AS DATE) FROM b)",
+    "risk_score", times="event_time",
+)
+def _(spark, sf):
+    path = _scratch(spark, "raised")
+    whole = _detect(spark, sf)
+    # First without the last six hours, then the whole last day.
+    before = F.lit(whole.bounds.analysis_end) - F.expr("INTERVAL 6 HOURS")
+    part = detect(network(spark, sf).filter(F.col("event_time") < before), process(spark, sf).filter(F.col("event_time") < before), SETTINGS, _peers_of)
+    sinks.append_findings(part.findings, path)
+    current = sinks.current_findings(sinks.append_findings(whole.findings, path))
+    last = F.col("event_time").cast("date") == F.lit(whole.bounds.analysis_end).cast("date")
+    return current.filter(last).join(whole.findings.select("finding_id"), "finding_id", "left_semi").select(*FINDING_COLUMNS)
+
+
 @check("l3_export_json", 'SELECT finding_id, "user", severity, risk_score FROM find', "risk_score")
 def _(spark, sf):
     path = _scratch(spark, "json")

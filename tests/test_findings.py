@@ -8,7 +8,7 @@ from veerline.config import DEFAULT
 from veerline.functions import cef_line
 from veerline.operators import findings as fd, rules
 from veerline.plans import detect
-from veerline.sinks import append_findings, append_to_table, export_cef, export_json, write_events
+from veerline.sinks import append_findings, append_to_table, current_findings, export_cef, export_json, write_events
 from veerline.sources import create_tables, describe, read_findings, read_optional
 
 from .rows import END, frame, network_row, process_row, processes, steady
@@ -50,6 +50,29 @@ def test_append_is_repeatable_and_grows_columns(spark, tmp_path):
     assert "model_version" in stored.columns
 
 
+def test_raised_finding_replaces_that_of_a_cut_day(spark, tmp_path):
+    whole = loud_user(spark).findings
+    part = whole.withColumns({
+        "severity": F.lit("MEDIUM"), "risk_score": F.lit(0.5),
+        "network_evidence": F.col("network_evidence").withField("daily_events", F.lit(5).cast("bigint")),
+    })
+    want = [(r["severity"], r["risk_score"]) for r in whole.collect()]
+    for first, second in ((part, whole), (whole, part)):
+        path = str(tmp_path / f"raised-{first is part}")
+        append_findings(first, path)
+        assert append_findings(second, path).count() == 2
+        assert append_findings(first, path).count() == 2
+        found = current_findings(append_findings(second, path))
+        assert [(r["severity"], r["risk_score"]) for r in found.collect()] == want
+        assert found.columns == append_findings(second, path).columns
+    spark.sql("DROP DATABASE IF EXISTS raised CASCADE")
+    name = create_tables(spark, "raised")[2]
+    for found in (part, whole, part, whole):
+        append_to_table(fd.with_load_meta(found), name)
+    assert spark.table(name).count() == 2
+    assert [(r["SEVERITY"], r["RISK_SCORE"]) for r in current_findings(spark.table(name)).collect()] == want
+
+
 def test_append_to_ocsf_table(spark):
     spark.sql("DROP DATABASE IF EXISTS appended CASCADE")
     names = create_tables(spark, "appended")

@@ -3,6 +3,7 @@ from .tables import (
     analyze,
     append_findings,
     append_to_table,
+    current_findings,
     load_baseline,
     save_baseline,
     write_events,
@@ -11,7 +12,7 @@ from .tables import (
 from .exports import export_cef, export_json
 
 __all__ = [
-    "analyze", "append_findings", "append_to_table", "broadcast_if_small", "export_cef",
-    "export_json", "load_baseline", "materialise", "save_baseline", "scratch_dir",
+    "analyze", "append_findings", "append_to_table", "broadcast_if_small",
+    "current_findings", "export_cef", "export_json", "load_baseline", "materialise", "save_baseline", "scratch_dir",
     "write_events", "write_table",
 ]

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .storage import materialise
 
@@ -13,22 +14,68 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "p
     writer.save(name) if "/" in name else writer.saveAsTable(name)
 
 
+#: What a later run can change in a finding of the same id.
+CONTENT = ("severity", "risk_score", "network_evidence", "process_evidence", "analysis_version", "model_version")
+
+
+def _content(df: DataFrame, names: list[str]) -> Column:
+    """Fingerprint of the named columns; doubles are rounded, since sums depend on the order of their parts."""
+    fields, cells = {f.name.lower(): f for f in df.schema}, []
+    for name in names:
+        field = fields[name]
+        inner = [(f"`{field.name}`.`{f.name}`", f) for f in field.dataType] if isinstance(field.dataType, T.StructType) else [(f"`{field.name}`", field)]
+        for path, f in inner:
+            cell = F.col(path)
+            if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+                cell = F.round(cell.cast("double"), 6)
+            cells.append(cell.cast("string").alias(f"{name}_{f.name.lower()}"))
+    return F.sha2(F.to_json(F.struct(F.lit("").alias("_"), *cells)), 256)
+
+
 def _only_new(findings: DataFrame, stored: DataFrame) -> DataFrame:
-    """Findings whose id is not stored yet.
+    """Findings that are not stored yet with this id and content.
 
     Only stored rows of the days at hand are compared, so a rerun of one day does not read
-    the whole history.
+    the whole history. Columns that one side lacks are not compared.
     """
     days = findings.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
     recent = stored.filter(
         F.col("event_time").between(days.select("lo").scalar(), days.select("hi").scalar())
     )
-    return findings.join(recent.select("finding_id"), "finding_id", "left_anti")
+    both = {f.name.lower() for f in findings.schema} & {f.name.lower() for f in stored.schema}
+    names = [c for c in CONTENT if c in both]
+    known = recent.select("finding_id", _content(stored, names).alias("_content"))
+    new = findings.withColumn("_content", _content(findings, names)).join(known, ["finding_id", "_content"], "left_anti")
+    return new.select(*[F.col(f"`{c}`") for c in findings.columns])
+
+
+def current_findings(stored: DataFrame) -> DataFrame:
+    """The row that holds now of each id: appends keep the earlier rows of a changed finding.
+
+    The row that saw most of its day comes first (a run cuts its first and its last day), then the run
+    that ended last, the row loaded last, and the higher score; columns that are absent do not count.
+    """
+    fields = {f.name.lower(): f for f in stored.schema}
+
+    def cell(name: str, part: str = "") -> list[Column]:
+        field = fields.get(name)
+        if field is None or part and not (isinstance(field.dataType, T.StructType) and part in field.dataType.names):
+            return []
+        return [F.col(f"`{field.name}`.`{part}`" if part else f"`{field.name}`")]
+
+    seen = cell("network_evidence", "daily_events") + cell("process_evidence", "daily_processes")
+    order = [F.coalesce(*seen)] if seen else []
+    order += cell("context", "analysis_period_end") + cell("load_timestamp") + cell("risk_score") + cell("severity")
+    rank = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    row = F.struct(*[F.col(f"`{c}`") for c in stored.columns])
+    return stored.groupBy("finding_id").agg(F.max_by(row, rank).alias("_row")).select("_row.*")
 
 
 def append_findings(findings: DataFrame, path: str) -> DataFrame:
     """Append findings at ``path`` and return the stored findings; a rerun adds nothing.
 
+    A finding whose content has changed is appended beside the stored one; ``current_findings``
+    gives the row that holds of each id.
     New columns are allowed: the returned reader merges the schemas of all appends.
     """
     reader = findings.sparkSession.read.option("mergeSchema", True)
@@ -58,8 +105,7 @@ def append_to_table(findings: DataFrame, table: str) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
     stored = spark.table(table)
     given = {c.lower(): c for c in findings.columns}
-    new = _only_new(findings, stored.select("finding_id", "event_time"))
-    aligned = new.select(
+    aligned = findings.select(
         *[
             (F.col(given[f.name.lower()]) if f.name.lower() in given else F.lit(None))
             .cast(f.dataType)
@@ -67,7 +113,7 @@ def append_to_table(findings: DataFrame, table: str) -> None:
             for f in stored.schema
         ]
     )
-    materialise(aligned, "new-findings").write.insertInto(table)
+    materialise(_only_new(aligned, stored), "new-findings").write.insertInto(table)
 
 
 def write_events(events: DataFrame, path: str, partitions: int | None = None) -> None:
