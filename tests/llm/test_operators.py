@@ -174,6 +174,19 @@ def test_bands_reach_the_recall():
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8**rows) ** bands >= ngram_join.RECALL
 
 
+def test_clean_documents_with_a_repeated_line_are_kept(spark):
+    prose = " ".join(f"the {w} and {w}x of" for w in words(500, 24).split())
+    rows = [
+        (1, f"Chapter\n{prose}\nChapter", "a"),
+        # A table with short lines that come again, below its text.
+        (2, f"{prose}\n" + "\n".join(["yes"] * 6 + ["no"] * 6), "a"),
+        (3, prose, "a"),
+        # The lines that come again are most of the text.
+        (4, "\n".join([prose, "the end of it"] * 4), "a"),
+    ]
+    assert sorted(x.doc_id for x in quality_rules.keep_good(table(spark, rows)).collect()) == [1, 2, 3]
+
+
 def test_leaks_with_other_numbers_and_names(spark):
     item = "Each day the farmer in the north, Alice, sells 12 kg of apples and 7 kg of pears for 3 dollars, and Alice keeps 12 kg."
     other = item.replace("Alice", "Robert").replace("12", "40").replace("7", "9")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,10 @@ RULES = (
     Rule("list_lines", "bullet_line_ratio", None, 0.9),
 )
 
+#: As RULES, for what is kept: repeated lines must be many and also hold much of the text, so that a short line
+#: that stands twice in a text of few lines is no reason to drop it.
+KEEP_RULES = tuple(replace(r, measure="dup_line_share") if r.name == "repeated_lines" else r for r in RULES)
+
 
 def stop_words() -> list[str]:
     return sorted(set(" ".join(STOP_WORDS).split()))
@@ -90,6 +94,9 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         "n_letter_words",
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.length(F.array_join("lines", "")).cast("long").alias("n_line_chars"),
+        (F.length(F.array_join("lines", "")) - F.length(F.array_join(F.array_distinct("lines"), ""))).cast("long")
+        .alias("n_dup_line_chars"),
         F.expr(repeated).cast("long").alias("n_repeat_words"),
         F.regexp_count(F.lower("t"), F.lit(rf"(?<![^\x20\x09-\x0D])(?:{stops})(?![^\x20\x09-\x0D])"))
         .cast("long").alias("n_stop_words"),
@@ -109,6 +116,7 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         _ratio("n_letter_words", "n_words").alias("letter_word_ratio"),
         _ratio("n_capitals", "n_letters").alias("capital_ratio"),
         _ratio("n_dup_lines", "n_lines").alias("dup_line_ratio"),
+        F.least(_ratio("n_dup_lines", "n_lines"), _ratio("n_dup_line_chars", "n_line_chars")).alias("dup_line_share"),
         _ratio("n_ellipsis_lines", "n_lines").alias("ellipsis_line_ratio"),
         _ratio("n_bullet_lines", "n_lines").alias("bullet_line_ratio"),
     )
@@ -142,7 +150,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = KEEP_RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, unchanged; decided row by row in the same projection."""
     held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[f"`{text}`"].alias("_text"))
     passed = quality_rules(held, rules, "_row", "_text").filter("kept")
