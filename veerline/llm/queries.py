@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, license_scan, mixing, ngram_join, quality_rules, sharding, token_file, toxicity, warc
+from . import decontaminate, gam, license_scan, mixing, ngram_join, quality_rules, sharding, token_file, toxicity, turns, warc
 from .common import read
 
 
@@ -76,6 +76,11 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turns.repair(turns.damaged(rows))
+
+
 def _quality_sql() -> str:
     stops = ", ".join(f"'{w}'" for w in quality_rules.stop_words())
     sep = r"[^\x20\x09-\x0D]"
@@ -152,5 +157,6 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_file": op9_token_file,
     "op10_ngram_join": op10_ngram_join,
+    "op11_turn_repair": op11_turn_repair,
 }
 ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op8_quality_rules": _quality_sql()}
