@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, license_scan, mixing, ngram_join, quality_rules, sharding, token_file, toxicity, turns, warc
+from . import decontaminate, gam, license_scan, mixing, ngram_join, quality_rules, runs, sharding, token_file, toxicity, turns, warc
 from .common import read
 
 
@@ -81,6 +81,18 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(turns.damaged(rows))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.planted(read(spark, sf_dir, "documents")))
+    # The longest run, then the first, then that of the smallest period.
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def _quality_sql() -> str:
     stops = ", ".join(f"'{w}'" for w in quality_rules.stop_words())
     sep = r"[^\x20\x09-\x0D]"
@@ -158,5 +170,6 @@ QUERIES = {
     "op9_token_file": op9_token_file,
     "op10_ngram_join": op10_ngram_join,
     "op11_turn_repair": op11_turn_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op8_quality_rules": _quality_sql()}
