@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, gam, license_scan, mixing, ngram_join, quality_rules, runs, sharding, token_file, toxicity, turns, warc
+from . import decontaminate, gam, hnsw, license_scan, mixing, ngram_join, quality_rules, runs, sharding, token_file, toxicity, turns, warc
 from .common import read
 
 
@@ -81,6 +81,10 @@ def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(turns.damaged(rows))
 
 
+def op12_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(runs.planted(read(spark, sf_dir, "documents")))
     # The longest run, then the first, then that of the smallest period.
@@ -170,6 +174,7 @@ QUERIES = {
     "op9_token_file": op9_token_file,
     "op10_ngram_join": op10_ngram_join,
     "op11_turn_repair": op11_turn_repair,
+    "op12_vector_duplicates": op12_vector_duplicates,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLES = {"op5_warc": WARC_SQL, "op6_mixing": MIXING_SQL, "op8_quality_rules": _quality_sql()}
