@@ -31,10 +31,11 @@ from veerline.operators import (
     rules,
     scores,
 )
-from veerline.plans import detect, train
+from veerline.plans import covered_by, detect, train
 from veerline.streaming import alert_stream, read_event_stream, score_stream, stream_daily
 
 from . import views
+from .prelude import PRELUDE
 from .registry import check
 from .views import CENTROIDS, HOURS, SETTINGS, network, process, table
 
@@ -1613,21 +1614,43 @@ def _(spark, sf):
     return sinks.append_findings(found, path)
 
 
+# The analysis as it would have been six hours earlier.
+EARLIER = PRELUDE.replace("FROM events", "FROM (SELECT * FROM events WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 6 HOURS)")
+# What the first run found on days that the second run saw less of, or not at all.
+EARLIER_FIND = f"(SELECT * FROM ({EARLIER} SELECT * FROM find) e WHERE event_time <= (SELECT date_trunc('day', analysis_start) FROM b))"
+
+
+def _two_runs(spark, sf, again: bool = False) -> DataFrame:
+    """The findings of a run without the last six hours, then those of the whole run; ``again`` repeats both."""
+    path = _scratch(spark, "raised")
+    whole = _detect(spark, sf)
+    before = F.lit(whole.bounds.analysis_end) - F.expr("INTERVAL 6 HOURS")
+    part = detect(network(spark, sf).filter(F.col("event_time") < before), process(spark, sf).filter(F.col("event_time") < before), SETTINGS, _peers_of)
+    runs = [(sinks.materialise(r.findings, "found"), covered_by(r)) for r in (part, whole)]
+    for findings, covered in runs * (2 if again else 1):
+        stored = sinks.append_findings(findings, path, covered)
+    return stored
+
+
 @check(
     "l2_append_raised",
-    "SELECT * FROM find WHERE CAST(event_time AS DATE) = (SELECT CAST(analysis_end AS DATE) FROM b)",
+    f"SELECT * FROM find WHERE finding_id NOT IN (SELECT finding_id FROM {EARLIER_FIND}) UNION ALL SELECT * FROM {EARLIER_FIND}",
     "risk_score", times="event_time",
 )
 def _(spark, sf):
-    path = _scratch(spark, "raised")
-    whole = _detect(spark, sf)
-    # First without the last six hours, then the whole last day.
-    before = F.lit(whole.bounds.analysis_end) - F.expr("INTERVAL 6 HOURS")
-    part = detect(network(spark, sf).filter(F.col("event_time") < before), process(spark, sf).filter(F.col("event_time") < before), SETTINGS, _peers_of)
-    sinks.append_findings(part.findings, path)
-    current = sinks.current_findings(sinks.append_findings(whole.findings, path))
-    last = F.col("event_time").cast("date") == F.lit(whole.bounds.analysis_end).cast("date")
-    return current.filter(last).join(whole.findings.select("finding_id"), "finding_id", "left_semi").select(*FINDING_COLUMNS)
+    # Every day of both windows; the repeated runs change nothing.
+    return sinks.current_findings(_two_runs(spark, sf, again=True)).select(*FINDING_COLUMNS)
+
+
+@check(
+    "l2_withdrawn_findings",
+    f"""SELECT finding_id, event_time, "user", severity, risk_score FROM ({EARLIER} SELECT * FROM find) e
+        WHERE finding_id NOT IN (SELECT finding_id FROM find) AND event_time > (SELECT date_trunc('day', analysis_start) FROM b)""",
+    "risk_score", times="event_time",
+)
+def _(spark, sf):
+    history = sinks.finding_history(_two_runs(spark, sf)).filter("change = 'withdrawn' AND step = 2")
+    return history.select("finding_id", "event_time", "user", "severity", "risk_score")
 
 
 @check("l3_export_json", 'SELECT finding_id, "user", severity, risk_score FROM find', "risk_score")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from datetime import timedelta
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -8,7 +9,16 @@ from veerline.config import DEFAULT
 from veerline.functions import cef_line
 from veerline.operators import findings as fd, rules
 from veerline.plans import detect
-from veerline.sinks import append_findings, append_to_table, current_findings, export_cef, export_json, write_events
+from veerline.sinks import (
+    Covered,
+    append_findings,
+    append_to_table,
+    current_findings,
+    export_cef,
+    export_json,
+    finding_history,
+    write_events,
+)
 from veerline.sources import create_tables, describe, read_findings, read_optional
 
 from .rows import END, frame, network_row, process_row, processes, steady
@@ -73,6 +83,38 @@ def test_raised_finding_replaces_that_of_a_cut_day(spark, tmp_path):
     assert [(r["SEVERITY"], r["RISK_SCORE"]) for r in current_findings(spark.table(name)).collect()] == want
 
 
+def test_findings_are_withdrawn_and_come_back(spark, tmp_path):
+    run = loud_user(spark)
+    found, none = run.findings, run.findings.limit(0)
+
+    def at(days):
+        """The same run, some days later: its window still covers the whole day of the finding."""
+        moved = {n: str(datetime.fromisoformat(getattr(run.bounds, n)) + timedelta(days=days)) for n in ("analysis_start", "analysis_end")}
+        return Covered(replace(run.bounds, **moved), (fd.NETWORK_ANALYTIC,))
+
+    def seen(covered):
+        end = F.lit(covered.bounds.analysis_end)
+        start = F.lit(covered.bounds.analysis_start)
+        return found.withColumn("context", F.col("context").withField("analysis_period_start", start).withField("analysis_period_end", end))
+
+    path = str(tmp_path / "store")
+    spark.sql("DROP DATABASE IF EXISTS withdrawn CASCADE")
+    name = create_tables(spark, "withdrawn")[2]
+    steps = [(found, at(0), 1, 1), (none, at(1), 2, 0), (none, at(2), 2, 0), (found, at(0), 2, 0), (seen(at(3)), at(3), 3, 1), (seen(at(3)), at(3), 3, 1)]
+    for rows, covered, stored, current in steps:
+        table = append_findings(rows, path, covered)
+        append_to_table(rows, name, covered)
+        for kept in (table, spark.table(name)):
+            assert (kept.count(), current_findings(kept).count()) == (stored, current)
+    history = finding_history(table).orderBy("step").collect()
+    assert [x.change for x in history] == ["raised", "withdrawn", "again"]
+    # Another analytic, and a run that saw less of the day, withdraw nothing.
+    other = Covered(at(4).bounds, (fd.PROCESS_ANALYTIC,))
+    less = Covered(replace(at(4).bounds, analysis_start=str(END + timedelta(hours=1))), (fd.NETWORK_ANALYTIC,))
+    for covered in (other, less):
+        assert current_findings(append_findings(none, path, covered)).count() == 1
+
+
 def test_append_to_ocsf_table(spark):
     spark.sql("DROP DATABASE IF EXISTS appended CASCADE")
     names = create_tables(spark, "appended")

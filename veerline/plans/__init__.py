@@ -1,5 +1,5 @@
 from .detection import Detection, detect
-from .run import run_detection, run_training
+from .run import covered_by, run_detection, run_training
 from .training import Training, train
 
-__all__ = ["Detection", "Training", "detect", "run_detection", "run_training", "train"]
+__all__ = ["Detection", "Training", "covered_by", "detect", "run_detection", "run_training", "train"]

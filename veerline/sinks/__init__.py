@@ -1,9 +1,11 @@
 from .storage import broadcast_if_small, materialise, scratch_dir
 from .tables import (
+    Covered,
     analyze,
     append_findings,
     append_to_table,
     current_findings,
+    finding_history,
     load_baseline,
     save_baseline,
     write_events,
@@ -12,6 +14,7 @@ from .tables import (
 from .exports import export_cef, export_json
 
 __all__ = [
+    "Covered", "finding_history",
     "analyze", "append_findings", "append_to_table", "broadcast_if_small",
     "current_findings", "export_cef", "export_json", "load_baseline", "materialise", "save_baseline", "scratch_dir",
     "write_events", "write_table",
