@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import broadcast_below, partitions, store
 from .quality_rules import measures
 
 #: Labelled rows that the model is fitted on, at most; chosen by hash.
@@ -38,7 +39,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         (F.col("n_words") / F.greatest(F.col("n_lines"), F.lit(1))).alias("words_per_line"),
         (F.regexp_count(t, F.lit(r"[.!?]")) / n).alias("end_marks"),
         (F.regexp_count(t, F.lit(r"[0-9]")) / chars).alias("digits"),
-        (F.size(F.array_distinct(F.split(F.lower(t), r"[\x20\x09-\x0D]+"))) / n).alias("distinct_words"),
+        (F.col("n_distinct_words") / n).alias("distinct_words"),
     )
     return added.select(F.col("row.k").alias(key), F.array(*[F.col(f).cast("double") for f in FEATURES]).alias("x"))
 
@@ -157,12 +158,28 @@ def labelled(labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
     return named.filter("_label IS NOT NULL AND _key IS NOT NULL").groupBy("_key").agg(F.max("_label").alias("_label"))
 
 
+def sampled(rows: DataFrame, most: int, key: str = "_key") -> DataFrame:
+    """At most ``most`` rows, those with the least hashes of their key; few rows are left for the last step to order."""
+    n = rows.count()
+    if n <= most:
+        return rows
+    # Half as many again as wanted pass a bound on the hash, so that the sort does not see all rows.
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(min(1 << 30, int((1 << 30) * (1.5 * most + 100) / n)))
+    return rows.filter(share).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(most)
+
+
 def learn(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled documents, chosen by a hash of the key."""
-    known = labelled(labels, label, key).orderBy(F.xxhash64("_key"), "_key").limit(rows)
-    joined = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(known, F.col("_id") == F.col("_key"))
+    """Fit on at most ``rows`` labelled documents, chosen by a hash of the key.
+
+    Null labels, and labels of documents that are not there, do not count; a null text is empty; repeated rows of a
+    document count each, still within the bound; without labels every score is 0.5, with labels of one kind it is a
+    constant near them.
+    """
+    known = store(sampled(labelled(labels, label, key), rows), "labels")
+    joined = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(broadcast_below(known), F.col("_id") == F.col("_key"))
     # Repeated rows of a key could exceed the bound again.
-    seen = features(joined.select(F.struct("_id", "_label").alias("_at"), "_text").limit(rows), "_at", "_text")
+    fit_rows = sampled(joined.select(F.struct("_id", "_label").alias("_at"), "_text", F.col("_id").alias("_key")), rows)
+    seen = features(fit_rows.repartition(partitions(docs.sparkSession)), "_at", "_text")
     found = seen.select("_at._id", F.col("_at._label").alias("y"), "x").orderBy(F.xxhash64("_id"), "_id", "y").toPandas()
     x = np.array(found["x"].tolist(), "float64").reshape(len(found), len(FEATURES))
     return fit(x, found["y"].to_numpy("float64"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,22 +32,19 @@ class Rule:
     high: float | None = None
 
 
-#: The measures are columns of :func:`measures`; a ratio over nothing is 0.
+#: The measures are columns of :func:`measures`; a ratio over nothing is 0. Repeated lines must be many and also
+#: hold much of the text, so that a short line that stands twice in a text of few lines is no reason to drop it.
 RULES = (
     Rule("word_length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbols_per_word", None, 0.2),
     Rule("stop_words", "stop_word_ratio", 0.02, None),
     Rule("letters", "letter_word_ratio", 0.6, None),
     Rule("capitals", "capital_ratio", None, 0.5),
-    Rule("repeated_lines", "dup_line_ratio", None, 0.3),
+    Rule("repeated_lines", "dup_line_share", None, 0.3),
     Rule("cut_lines", "ellipsis_line_ratio", None, 0.3),
     Rule("list_lines", "bullet_line_ratio", None, 0.9),
 )
 
-#: As RULES, for what is kept: repeated lines must be many and also hold much of the text, so that a short line
-#: that stands twice in a text of few lines is no reason to drop it.
-KEEP_RULES = tuple(replace(r, measure="dup_line_share") if r.name == "repeated_lines" else r for r in RULES)
-
 
 def stop_words() -> list[str]:
     return sorted(set(" ".join(STOP_WORDS).split()))
@@ -64,7 +61,6 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     words which the text holds twice or more: the windows are sorted by their hash together with their
     position, so that equal ones are neighbours and a long text costs n log n.
     """
-    stops = "|".join(stop_words())
     spread = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("t")).select(
         key,
         "t",
@@ -82,6 +78,8 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"),
+        F.size(F.filter("w", lambda x: F.lower(x).isin(stop_words()))).cast("long").alias("n_stop_words"),
+        F.size(F.array_distinct(F.transform("w", F.lower))).cast("long").alias("n_distinct_words"),
         F.expr(windows).alias("s"),
     )
     repeated = """element_at(transform(array(s), s -> CASE WHEN size(s) > 1 THEN size(array_distinct(flatten(transform(
@@ -92,14 +90,14 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         "n_words",
         "word_chars",
         "n_letter_words",
+        "n_stop_words",
+        "n_distinct_words",
         (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.length(F.array_join("lines", "")).cast("long").alias("n_line_chars"),
         (F.length(F.array_join("lines", "")) - F.length(F.array_join(F.array_distinct("lines"), ""))).cast("long")
         .alias("n_dup_line_chars"),
         F.expr(repeated).cast("long").alias("n_repeat_words"),
-        F.regexp_count(F.lower("t"), F.lit(rf"(?<![^\x20\x09-\x0D])(?:{stops})(?![^\x20\x09-\x0D])"))
-        .cast("long").alias("n_stop_words"),
         F.regexp_count("t", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
         F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
         F.size("lines").cast("long").alias("n_lines"),
@@ -150,8 +148,13 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
 
 
-def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = KEEP_RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged; decided row by row in the same projection."""
+def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass, unchanged; decided row by row in the same projection.
+
+    Null and empty texts go, repeated rows are judged alike, a null key does not matter, an empty table gives an
+    empty one, and other columns may have any name.
+    """
     held = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"), docs[f"`{text}`"].alias("_text"))
-    passed = quality_rules(held, rules, "_row", "_text").filter("kept")
-    return passed.select("_row.*")
+    judged = quality_rules(held, rules, "_row", "_text").select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
+    # The row number keeps the optimizer from moving the filter below the measures, which it would compute once per rule.
+    return judged.filter(F.col("kept") & (F.col("_n") >= 0)).select("_row.*")

@@ -116,6 +116,8 @@ r AS (SELECT n, count(DISTINCT p) AS n_repeat_words FROM (
 c AS (SELECT n, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
     CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    length(array_to_string(lines, '')) AS n_line_chars,
+    length(array_to_string(lines, '')) - coalesce(list_sum(list_transform(list_distinct(lines), lambda x: length(x))), 0) AS n_dup_line_chars,
     len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
     len(list_filter(w, lambda x: list_contains([{stops}], lower(x)))) AS n_stop_words,
     len(regexp_extract_all(t, '\p{{L}}')) AS n_letters, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_capitals,
@@ -128,7 +130,7 @@ m AS (SELECT c.*, coalesce(r.n_repeat_words, 0) AS n_repeat_words,
     coalesce(n_stop_words / nullif(n_words, 0), 0) AS stop_word_ratio,
     coalesce(n_letter_words / nullif(n_words, 0), 0) AS letter_word_ratio,
     coalesce(n_capitals / nullif(n_letters, 0), 0) AS capital_ratio,
-    coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_ratio,
+    least(coalesce(n_dup_lines / nullif(n_lines, 0), 0), coalesce(n_dup_line_chars / nullif(n_line_chars, 0), 0)) AS dup_line_share,
     coalesce(n_ellipsis / nullif(n_lines, 0), 0) AS ellipsis_line_ratio,
     coalesce(n_bullet / nullif(n_lines, 0), 0) AS bullet_line_ratio
     FROM c LEFT JOIN r USING (n)),
