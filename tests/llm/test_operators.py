@@ -190,13 +190,17 @@ def test_clean_documents_with_a_repeated_line_are_kept(spark):
 def test_leaks_with_other_numbers_and_names(spark):
     item = "Each day the farmer in the north, Alice, sells 12 kg of apples and 7 kg of pears for 3 dollars, and Alice keeps 12 kg."
     other = item.replace("Alice", "Robert").replace("12", "40").replace("7", "9")
-    broken = other.replace("keeps 40", "keeps 41")
+    broken = item.replace("Alice", "Robert").replace("12 kg of apples", "40 kg of apples").replace("keeps 12", "keeps 41")
+    # Each value stands for another one everywhere, so nothing that the item says holds here.
+    shuffled = "Each day the farmer in the north, Alice, sells 12 kg of apples and 12 kg of pears for 12 dollars, and Bob keeps 9 kg."
     clean = "The river in the south is long and nobody knows how many fish live in it these days."
     bench = spark.createDataFrame([(5, item)], "item_id long, text string")
-    docs = table(spark, [(0, f"Some start. {item} An end.", "a"), (1, f"{clean} {other}", "a"), (2, clean, "a"), (3, broken, "a")])
+    docs = table(spark, [(0, f"Some start. {item} An end.", "a"), (1, f"{clean} {other}", "a"), (2, clean, "a"), (3, broken, "a"), (4, shuffled, "a")])
     found = {x.doc_id: x for x in decontaminate.contaminated(docs, bench).collect()}
     assert found[0].contaminated and found[1].contaminated and found[1]["items"] == [5]
-    assert not found[2].contaminated and not found[3].contaminated
+    # Only the windows whose slots disagree do not count.
+    assert not found[2].contaminated and 0.5 < found[3].coverage < found[1].coverage == 1
+    assert found[4].coverage < found[3].coverage
     plan = decontaminate.contaminated(docs, bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
