@@ -237,17 +237,51 @@ def test_seeds_find_all_that_bounded_matching_finds():
 def test_token_blocks_round_trip_and_detect_damage():
     r = np.random.default_rng(6)
     ids = (r.zipf(1.2, 50_000) % 50_000).astype("int32")
-    freq = token_file.frequencies(np.bincount(ids, minlength=token_file.VOCAB))
+    freq = token_file.frequencies(np.bincount(ids, minlength=70_000))
     assert int(freq.sum()) == 1 << token_file.BITS
     symbols = np.repeat(np.arange(len(freq), dtype="uint32"), freq)
     for n in (0, 1, 7, 2048, 2049, 50_000):
         data = token_file.encode_block(ids[:n], freq)
         assert (token_file.decode_block(data, freq, symbols) == ids[:n]).all()
+    many = np.tile(ids, 7)
+    data = token_file.encode_block(many, freq)
+    # Each checkpoint can be read alone.
+    for point in range(3):
+        part = many[point * token_file.STEP : (point + 1) * token_file.STEP]
+        assert (token_file.decode_block(data, freq, symbols, point) == part).all()
     broken = data[:-9] + bytes([data[-9] ^ 1]) + data[-8:]
     with pytest.raises((ValueError, IndexError)):
         token_file.decode_block(broken, freq, symbols)
 
 
+def test_pieces_encode_as_whole_texts(monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    r = np.random.default_rng(8)
+    alphabet = list("aZ é ß1٣½'’st ll\n\t\r\x0b\u00a0\u2028\u3000\ufeff数据ñ\u0301🙂\U0001fae8\u200b\u0085_-.!²Ⅷ\x1c\x00")
+    special = "<|endoftext|>"
+    texts = ["", " ", "it's we'll  two\n\n three ", special, f"a{special} b", "\U0001c000 \u088f \ua7cb x"]
+    texts += ["".join(r.choice(alphabet, int(r.integers(1, 60)))) for _ in range(1500)]
+    for memo in (token_file.MEMO, 20):
+        monkeypatch.setattr(token_file, "MEMO", memo)
+        encoder = token_file.Encoder(public.path("byte_bpe_50k.json"))
+        assert encoder.by_piece
+        for text in texts:
+            assert encoder.encode(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids, repr(text)
+    assert not token_file.Encoder(public.path("word_bpe_49k.json")).by_piece
+
+
+def test_rows_with_one_key_stand_in_the_same_order_in_any_partitioning(spark):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    docs = table(spark, [(None if i % 3 else 7, words(i, 5 + i % 40), "ab"[i % 2]) for i in range(300)])
+    runs = []
+    for n in (1, 7):
+        file, freq = token_file.write_tokens(docs.repartition(n, "text"), path)
+        # Another session has only the stored tables.
+        runs.append(sorted(map(tuple, token_file.read_tokens(file, freq).collect()), key=lambda x: x[1]))
+    assert runs[0] == runs[1] and runs[0][0][1] == 0
+
+
 def test_token_file_against_the_tokenizer(spark, odd):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -9,15 +10,21 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, store
 
-# Fixed values of the format: magic, bits of the frequency sum, lanes of a block, ids of a full block, end id.
-MAGIC, BITS, LANES, BLOCK, END, VOCAB = b"RNS1", 20, 2048, 1 << 19, 0, 1 << 16
+# Fixed values of the format: magic, bits of the frequency sum, lanes of a block, ids of a full block, ids between
+# checkpoints, end id.
+MAGIC, BITS, LANES, BLOCK, STEP, END = b"RNS2", 20, 2048, 1 << 19, 1 << 17, 0
 LOW = np.uint64(1 << 31)
+#: Pieces of text whose ids a task remembers; the library encodes all others.
+MEMO = 1 << 20
+#: How a byte-level tokenizer cuts a text into pieces before it merges bytes (fixed value).
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def frequencies(counts: np.ndarray) -> np.ndarray:
@@ -26,88 +33,163 @@ def frequencies(counts: np.ndarray) -> np.ndarray:
     if not seen.any():
         return np.zeros(len(counts), "uint32")
     room = (1 << BITS) - int(seen.sum())
+    if room <= 0:
+        raise ValueError("more distinct ids than the frequencies can tell apart")
     scaled = np.floor(counts * (room / counts.sum())).astype("int64") + seen
     scaled[int(np.argmax(counts))] += (1 << BITS) - int(scaled.sum())
     return scaled.astype("uint32")
 
 
 def encode_block(ids: np.ndarray, freq: np.ndarray) -> bytes:
-    """Header (ids, lanes, words, crc32), final lane states as checkpoints, then the words of all lanes in turn."""
+    """Header (ids, lanes, words, checkpoints), the checkpoints, then the words of all lanes in turn.
+
+    A checkpoint stands before every ``STEP``-th id: the place of the next word, the crc32 of the ids up to the
+    next checkpoint, and the states of all lanes, so that a reader can start there.
+    """
     lanes = min(LANES, max(1, len(ids)))
     start = np.concatenate([[0], np.cumsum(freq, dtype="uint64")[:-1]]).astype("uint64")
     f, s = freq.astype("uint64")[ids], start[ids]
-    state, words = np.full(lanes, LOW, "uint64"), []
+    state, words, points, sent = np.full(lanes, LOW, "uint64"), [], [], 0
+    # A checkpoint stands before a full row of lanes.
+    step = max(1, STEP // lanes) * lanes
     for at in range((max(0, len(ids) - 1) // lanes) * lanes, -1, -lanes):
         fi, si = f[at : at + lanes], s[at : at + lanes]
         x = state[: len(fi)]
         full = x >= (fi << np.uint64(63 - BITS))
         words.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")[::-1])
+        sent += len(words[-1])
         x = np.where(full, x >> np.uint64(32), x)
         state[: len(fi)] = ((x // fi) << np.uint64(BITS)) + x % fi + si
+        if at % step == 0:
+            crc = zlib.crc32(ids[at : at + step].astype("<u4").tobytes())
+            points.append((sent, crc, state.astype("<u8").tobytes()))
     out = np.concatenate(words)[::-1].astype("<u4") if words else np.zeros(0, "<u4")
-    crc = zlib.crc32(ids.astype("<u4").tobytes())
-    return MAGIC + struct.pack("<IIII", len(ids), lanes, len(out), crc) + state.astype("<u8").tobytes() + out.tobytes()
+    head = MAGIC + struct.pack("<IIII", len(ids), lanes, len(out), len(points))
+    return head + b"".join(struct.pack("<II", len(out) - n, crc) + x for n, crc, x in reversed(points)) + out.tobytes()
 
 
-def decode_block(data: bytes, freq: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+def decode_block(data: bytes, freq: np.ndarray, symbols: np.ndarray, point: int | None = None) -> np.ndarray:
+    """The ids of a block, or only those from a checkpoint up to the next."""
     if data[:4] != MAGIC:
         raise ValueError("not a block of token ids")
-    n, lanes, size, crc = struct.unpack_from("<IIII", data, 4)
-    state = np.frombuffer(data, "<u8", lanes, 20).astype("uint64")
-    words = np.frombuffer(data, "<u4", size, 20 + 8 * lanes).astype("uint64")
+    n, lanes, size, points = struct.unpack_from("<IIII", data, 4)
+    wide, each = 8 + 8 * lanes, max(1, STEP // lanes) * lanes
+    words = np.frombuffer(data, "<u4", size, 20 + points * wide).astype("uint64")
     start = np.concatenate([[0], np.cumsum(freq, dtype="uint64")[:-1]]).astype("uint64")
-    wide, ids, at = freq.astype("uint64"), np.empty(n, "uint32"), 0
-    for first in range(0, n, lanes):
-        x = state[: min(lanes, n - first)]
-        slot = x & np.uint64((1 << BITS) - 1)
-        got = symbols[slot]
-        ids[first : first + len(x)] = got
-        x = wide[got] * (x >> np.uint64(BITS)) + slot - start[got]
-        low = x < LOW
-        k = int(low.sum())
-        x[low] = (x[low] << np.uint64(32)) | words[at : at + k]
-        at += k
-        state[: len(x)] = x
-    if zlib.crc32(ids.tobytes()) != crc:
-        raise ValueError("checksum of a block of token ids")
-    return ids
+    freq = freq.astype("uint64")
+    parts = []
+    for k in range(points) if point is None else (point,):
+        at, crc = struct.unpack_from("<II", data, 20 + k * wide)
+        state = np.frombuffer(data, "<u8", lanes, 28 + k * wide).astype("uint64")
+        ids = np.empty(max(0, min(n, (k + 1) * each) - k * each), "uint32")
+        for first in range(0, len(ids), lanes):
+            x = state[: min(lanes, len(ids) - first)]
+            slot = x & np.uint64((1 << BITS) - 1)
+            got = symbols[slot]
+            ids[first : first + len(x)] = got
+            x = freq[got] * (x >> np.uint64(BITS)) + slot - start[got]
+            low = x < LOW
+            more = int(low.sum())
+            x[low] = (x[low] << np.uint64(32)) | words[at : at + more]
+            at += more
+            state[: len(x)] = x
+        if zlib.crc32(ids.tobytes()) != crc:
+            raise ValueError("checksum of a block of token ids")
+        parts.append(ids)
+    return np.concatenate(parts) if parts else np.zeros(0, "uint32")
 
 
-@lru_cache(maxsize=1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of whole texts by the tokenizers library, which encodes each distinct piece of text once.
+
+    A byte-level tokenizer cuts a text into pieces by a pattern and encodes each on its own, so the ids of a text are
+    those of its pieces. A text is left to the library whole if it names a special token or holds a character that
+    the library puts into another class than the pattern here does, and so are all texts of any other tokenizer. A
+    full memory is no limit: what is not in it is encoded again.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        how = json.loads(self.library.to_str())
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        cut = how["pre_tokenizer"] or {}
+        self.by_piece = how["normalizer"] is None and all(cut.get(k) == v for k, v in plain.items())
+        self.special = [t["content"] for t in how["added_tokens"]]
+        self.pattern, self.number = regex.compile(PIECES), regex.compile(r"\p{N}")
+        self.letter, self.space = regex.compile(r"\p{L}"), regex.compile(r"\s")
+        self.agreed: set[str] = set()
+        self.differing: set[str] = set()
+        self.memo: dict[str, np.ndarray] = {}
+
+    def size(self) -> int:
+        return self.library.get_vocab_size(with_added_tokens=True)
+
+    def _agrees(self, c: str) -> bool:
+        """Whether the library and the pattern put a character into the same class: letter, number, space or other."""
+        alone = [len(self.library.pre_tokenizer.pre_tokenize_str(x + c)) == 1 for x in "a1!"]
+        mine = [bool(self.letter.match(c)), bool(self.number.match(c))]
+        return alone == [*mine, not any(mine) and not self.space.match(c)]
 
-    return Tokenizer.from_file(path)
+    def _same(self, text: str) -> bool:
+        new = set(text) - self.agreed
+        if new:
+            if new & self.differing:
+                return False
+            for c in new:
+                (self.agreed if self._agrees(c) else self.differing).add(c)
+        return not new & self.differing and not any(t in text for t in self.special)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "int32")
+
+    def encode(self, text: str) -> np.ndarray:
+        if not self.by_piece or not self._same(text):
+            return self._whole(text)
+        pieces, memo = self.pattern.findall(text), self.memo
+        new = set(pieces).difference(memo)
+        extra = {}
+        for piece, found in zip(new, self.library.encode_batch_fast(list(new), add_special_tokens=False)):
+            (memo if len(memo) < MEMO else extra)[piece] = np.array(found.ids, "int32")
+        if not pieces:
+            return np.zeros(0, "int32")
+        if extra:
+            return np.concatenate([memo[p] if p in memo else extra[p] for p in pieces])
+        return np.concatenate([memo[p] for p in pieces])
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    encoder = _encoder(path)
     part, row, seen = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             cut = batch.slice(at, 64)
-            texts = [t or "" for t in cut.column(1).to_pylist()]
-            ids = [
-                np.array([*e.ids, END], "int32")
-                for e in _tokenizer(path).encode_batch_fast(texts, add_special_tokens=False)
-            ]
+            ids = [np.append(encoder.encode(t or ""), np.int32(END)) for t in cut.column(1).to_pylist()]
             n = np.array([len(x) for x in ids], "int64")
             ends = seen + np.cumsum(n)
             k = len(ids)
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype("int32"), pa.array(np.concatenate(ids), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [cut.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(n), pa.array(np.full(k, part, "int32")),
+                [cut.column(0), lists, pa.array(n), pa.array(np.full(k, part, "int32")),
                  pa.array(np.arange(row, row + k, dtype="int64")), pa.array(ends - n)],
                 ["doc_id", "ids", "n_tokens", "part", "row", "before"],
             )
             row, seen = row + k, int(ends[-1])
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(VOCAB, "int64")
+def _tally(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(size, "int64")
     for batch in batches:
-        total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=VOCAB)
+        total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
@@ -157,28 +239,46 @@ def _read(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa.Re
             )
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, np.ndarray]:
-    """The files (a table of checksummed blocks) with all ids in ascending key order, and the shared frequencies.
+def write_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The files: a table of blocks with all ids in ascending key order, and the shared table of frequencies.
 
-    Null texts are empty and hold the end id only; null keys come first; repeated rows are kept; an empty
-    table gives no block. Documents are range-partitioned by key; a partition's ids before each document
-    are counted as they stream by. The table of frequencies has at most 65,536 entries.
+    Both are stored, and nothing else is needed to read them. Null texts are empty and hold the end id only; null
+    keys come first; rows with one key stand in the order of a hash of their texts, so that reruns agree, and equal
+    rows are kept; an empty table gives no block. Documents are range-partitioned by key and hash; a partition's ids
+    before each document are counted as they stream by. The frequencies have one row per id of the tokenizer.
     """
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ranged = narrow.repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    order = ["doc_id", F.xxhash64("text")]
+    ranged = narrow.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     schema = "doc_id long, ids array<int>, n_tokens long, part int, row long, before long"
     tokens = store(ranged.mapInArrow(partial(_tokenise, path=tokenizer), schema), "token-ids")
-    counts = np.zeros(VOCAB, "int64")
-    tally = tokens.select("ids").mapInArrow(_tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    size = _encoder(tokenizer).size()
+    counts = np.zeros(size, "int64")
+    tally = tokens.select("ids").mapInArrow(partial(_tally, size=size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     for row in tally.collect():
         counts[row["id"]] = row["n"]
     freq = frequencies(counts)
+    rows = [(i, int(n), zlib.crc32(freq.tobytes())) for i, n in enumerate(freq)]
+    table = store(docs.sparkSession.createDataFrame(rows, "id int, freq long, crc long").coalesce(1), "token-frequencies")
     columns = "part int, first_row long, doc_ids array<long>, before array<long>, lengths array<long>, blocks array<binary>"
-    return store(tokens.mapInArrow(partial(_write, freq=freq), columns), "token-file"), freq
+    return store(tokens.mapInArrow(partial(_write, freq=freq), columns), "token-file"), table
 
 
-def read_tokens(file: DataFrame, freq: np.ndarray) -> DataFrame:
-    """Per document of the files: doc_id, ``start``, ``n_tokens`` and ``ids_crc32``, blocks decoded in parallel."""
+def load_frequencies(table: DataFrame) -> np.ndarray:
+    """The stored frequencies, one row per id of the tokenizer; damage is an error."""
+    rows = table.orderBy("id").collect()
+    freq = np.array([r["freq"] for r in rows], "uint32")
+    if {r["crc"] for r in rows} - {zlib.crc32(freq.tobytes())} or [r["id"] for r in rows] != list(range(len(rows))):
+        raise ValueError("checksum of the table of frequencies")
+    return freq
+
+
+def read_tokens(file: DataFrame, table: DataFrame) -> DataFrame:
+    """Per document of the files: doc_id, ``start``, ``n_tokens`` and ``ids_crc32``, blocks decoded in parallel.
+
+    Null keys, repeated rows and rows with one key come back as they were written; files without blocks give no rows.
+    """
+    freq = load_frequencies(table)
     schema = "doc_id long, part int, before long, n_tokens long, ids_crc32 long"
     read = file.select("part", "doc_ids", "before", "lengths", "blocks").mapInArrow(partial(_read, freq=freq), schema)
     sums = file.select("part", F.expr("aggregate(lengths, 0L, (a, x) -> a + x)").alias("n"))
