@@ -57,9 +57,18 @@ def _compiled(notice: Notice):
     return regex.compile(rf"(?<= )(?e){fuzzy}(?= )"), seeds(notice)
 
 
-def find(text: str, notices: tuple[Notice, ...]) -> list[tuple[str, int, int, int]]:
-    """(label, first word, words, edits) of every verified place in a text of words between single spaces."""
-    found: dict[tuple[str, int, int], int] = {}
+def word_numbers(text: str, places: set[int]) -> dict[int, int]:
+    """How many words stand before each place, counted in one pass over the text."""
+    numbers, last, n = {}, 0, 0
+    for at in sorted(places):
+        n += text.count(" ", last, at)
+        numbers[at], last = n, at
+    return numbers
+
+
+def find(text: str, notices: tuple[Notice, ...]) -> list[tuple[str, int, int, int, int]]:
+    """(label, first word, words, edits, characters of the notice) of every verified place, words between single spaces."""
+    found: dict[tuple[str, int, int], tuple[int, int]] = {}
     for notice in notices:
         pattern, pieces = _compiled(notice)
         spans: list[list[int]] = []
@@ -80,11 +89,12 @@ def find(text: str, notices: tuple[Notice, ...]) -> list[tuple[str, int, int, in
             for m in pattern.finditer(text, a, b, overlapped=True):
                 words = m.group().split(" ")
                 if all(w in words for w in notice.exact) and m.start() > 0:
-                    first = text.count(" ", 0, m.start()) - 1
-                    key = (notice.label, first, len(words))
-                    edits = sum(m.fuzzy_counts)
-                    found[key] = min(edits, found.get(key, edits))
-    return [(*k, v) for k, v in sorted(found.items())]
+                    key = (notice.label, m.start(), len(words))
+                    now = sum(m.fuzzy_counts), len(notice.phrase)
+                    # Of two notices the one that is nearer, by its own length.
+                    found[key] = min(now, found.get(key, now), key=lambda x: x[0] / x[1])
+    numbers = word_numbers(text, {at for _, at, _ in found})
+    return sorted((label, numbers[at] - 1, words, *now) for (label, at, words), now in found.items())
 
 
 def base_places(text: str) -> list[tuple[str, int]]:
@@ -93,20 +103,20 @@ def base_places(text: str) -> list[tuple[str, int]]:
     for phrase, label in BASE:
         at = text.find(f" {phrase} ")
         while at >= 0:
-            found.append((label, text.count(" ", 0, at)))
+            found.append((label, at))
             at = text.find(f" {phrase} ", at + 1)
-    return found
+    numbers = word_numbers(text, {at for _, at in found})
+    return [(label, numbers[at]) for label, at in found]
 
 
-SPAN = pa.struct([("label", pa.string()), ("first", pa.int64()), ("words", pa.int64()), ("edits", pa.int64())])
+SPAN = pa.struct([("label", pa.string()), ("first", pa.int64()), ("words", pa.int64()), ("edits", pa.int64()), ("size", pa.int64())])
 SCHEMA = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double,"
-    " spans array<struct<label:string,first:long,words:long,edits:long>>"
+    " spans array<struct<label:string,first:long,words:long,edits:long,size:long>>"
 )
 
 
 def _scan(batches: Iterator[pa.RecordBatch], notices: tuple[Notice, ...]) -> Iterator[pa.RecordBatch]:
-    longest = {n.label: len(n.phrase) for n in sorted(notices, key=lambda n: len(n.phrase))}
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
@@ -114,11 +124,11 @@ def _scan(batches: Iterator[pa.RecordBatch], notices: tuple[Notice, ...]) -> Ite
             spans = find(text, notices)
             starts = [s for _, s in base]
             labels = sorted({x for x, _ in base})
-            best = max([1.0 - e / longest[x] for x, _, _, e in spans] + [1.0] * bool(base), default=0.0)
+            best = max([1.0 - e / n for _, _, _, e, n in spans] + [1.0] * bool(base), default=0.0)
             rows.append((
                 max(0, text.count(" ") - 1), len(base), min(starts, default=None), max(starts, default=None),
                 ",".join(labels), ",".join(sorted({*labels, *(s[0] for s in spans)})), best,
-                [dict(zip(("label", "first", "words", "edits"), s)) for s in spans],
+                [dict(zip(("label", "first", "words", "edits", "size"), s)) for s in spans],
             ))
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64(), pa.list_(SPAN)]
         names = [part.split()[0] for part in SCHEMA.split(", ")]
@@ -130,8 +140,8 @@ def scan_licenses(docs: DataFrame, notices: tuple[Notice, ...] = NOTICES, key: s
     """Per row of ``docs``: words, exact phrases (count, first, last, labels), all labels, score and spans.
 
     A-Z are lower-cased and the words put between single spaces by Spark; the notices are searched in that
-    text, whole. A span has the place and number of its words and its edits; the score is 1 less the share of
-    edits of the best span, 0 without one. Null and empty texts have no words and no labels; repeated rows give
+    text, whole. A span has the place and number of its words, its edits and the length of the notice that
+    it matches; the score is 1 less the best span's edits over that length, 0 without one. Null and empty texts have no words and no labels; repeated rows give
     repeated results; an empty table gives an empty one. Only key and text are read. No shuffle.
     """
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
