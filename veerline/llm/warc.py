@@ -19,8 +19,8 @@ from .common import broadcast_below, store
 
 # Magic of the skippable frame that holds a dictionary, and the smallest payload that is revisited.
 DICT_FRAME, LEAST = 0x184D2A5D, 1000
-#: Records that the dictionary is built from (at most), its bytes, and the payload bytes of one archive.
-SAMPLE, DICT_BYTES, ARCHIVE = 1000, 64 << 10, 64 << 20
+#: Records that the dictionary is built from, and their payload bytes (at most); bytes of the dictionary and of an archive.
+SAMPLE, SAMPLE_BYTES, DICT_BYTES, ARCHIVE = 1000, 8 << 20, 64 << 10, 64 << 20
 CHUNK = 1 << 20
 
 
@@ -36,12 +36,19 @@ def header(fields: list[tuple[str, str]]) -> bytes:
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n").encode()
 
 
-def record(page_id: int | None, url: str | None, digest: str, size: int, payload: bytes, response: int | None) -> bytes:
+def record_id(page_id: int | None, digest: str, place: str = "") -> str:
+    """The id of a record; ``place`` tells those apart that no other record refers to."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {digest} {place}')}>"
+
+
+def record(
+    page_id: int | None, url: str | None, digest: str, size: int, payload: bytes, response: int | None, place: str = ""
+) -> bytes:
     """A response record with its payload, or a revisit (``response`` is the page it refers to) without."""
     revisit = response is not None
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id} {url} {digest}')}>"),
+        ("WARC-Record-ID", record_id(page_id, digest, place)),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", "".join((url or "").split())),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
@@ -51,6 +58,7 @@ def record(page_id: int | None, url: str | None, digest: str, size: int, payload
     if revisit:
         fields += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
+            ("WARC-Refers-To", record_id(response, digest)),
             ("X-Refers-To-Page", str(response)),
         ]
     body = b"" if revisit else payload
@@ -86,12 +94,14 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, words: bytes) -> Iter
 
     for batch in batches:
         for i in range(batch.num_rows):
-            page_id, url, html, digest, length, response = (batch.column(c)[i].as_py() for c in range(6))
+            page_id, url, html, digest, length, response, target = (batch.column(c)[i].as_py() for c in range(7))
             if out is None:
                 name, size, n = f"{uuid.uuid4().hex}.warc.zst", 0, 0
-                out = home.open_output_stream(f"{base}/{name}")
+                out = home.open_output_stream(f"{base}/{name}", compression=None)
                 out.write(struct.pack("<II", DICT_FRAME, len(words)) + words)
-            out.write(packer.compress(record(page_id, url, digest, length, (html or "").encode(), response)))
+            # A record that revisits refer to has the id that they can know; any other has one of its own.
+            place = "" if target else f"{name} {n}"
+            out.write(packer.compress(record(page_id, url, digest, length, (html or "").encode(), response, place)))
             size, n = size + length, n + 1
             if size >= ARCHIVE:
                 out.close()
@@ -130,7 +140,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in batch.column(0).to_pylist():
             home, place = _open(path)
             rows: list[tuple] = []
-            with home.open_input_stream(place) as stream:
+            with home.open_input_stream(place, compression=None) as stream:
                 for data in records(stream):
                     fields, body = parse(data)
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -152,14 +162,37 @@ def _rows(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
+def _sample(hashed: DataFrame) -> list[bytes]:
+    """Whole records for the dictionary, in the order of a hash of their content, up to the bounds.
+
+    A bound on the hash, from the number of payloads, lets about twice as many pass as are wanted; their sizes decide
+    how many payloads are fetched.
+    """
+    some = hashed.filter("_bytes > 0").withColumn("_at", F.pmod(F.xxhash64("_digest"), F.lit(1 << 30)))
+    n = some.count()
+    share = min(1 << 30, (1 << 30) * 2 * SAMPLE // max(1, n) + 1)
+    sizes = some.filter(F.col("_at") < share).select("_at", "_digest", "_bytes").distinct().orderBy("_at", "_digest").limit(SAMPLE).collect()
+    left, chosen = SAMPLE_BYTES, []
+    for row in sizes:
+        left -= row["_bytes"]
+        if left < 0:
+            break
+        chosen.append(row["_digest"])
+    if not chosen:
+        return []
+    rows = some.filter(F.col("_digest").isin(chosen)).groupBy("_digest").agg(F.min(F.struct("page_id", "url", "html", "_bytes")).alias("r"))
+    return [record(r["page_id"], r["url"], d, r["_bytes"], r["html"].encode(), None) for d, r in sorted(rows.collect())]
+
+
 def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write one record per page into archives under ``folder``; the list of (path, records) comes back.
 
     Of equal payloads of at least 1000 bytes the one with the largest key is a response and the others
     revisit it; smaller ones are responses. Null payloads are empty, null keys come before all others (a
     group that has only null keys is all responses), rows repeated with the largest key are responses too,
-    an empty table writes no archive. Only key, url and html are read. The dictionary is built from at most
-    ``SAMPLE`` records taken by hash; every record is written.
+    an empty table writes no archive. Only key, url and html are read. The dictionary is built from whole
+    records as they are archived, at most ``SAMPLE`` of them and ``SAMPLE_BYTES``, taken by hash; every record is
+    written. Records of repeated rows that others refer to share their id.
     """
     narrow = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
     body = F.coalesce(F.col("html"), F.lit(""))
@@ -170,9 +203,9 @@ def write_warc(pages: DataFrame, folder: str, key: str = "page_id", url: str = "
     groups = store(large.filter("_n > 1").select(F.col("_digest").alias("_group"), "_first"), "warc-groups")
     joined = hashed.join(broadcast_below(groups), F.col("_digest") == F.col("_group"), "left")
     revisit = (F.col("_first") != F.col("page_id")) | (F.col("page_id").isNull() & F.col("_first").isNotNull())
-    rows = joined.select("page_id", "url", "html", "_digest", "_bytes", F.when(revisit, F.col("_first")).alias("_response"))
-    picked = narrow.filter(F.length("html") > 0).orderBy(F.xxhash64("page_id", "url")).select(F.substring("html", 1, 8192)).limit(SAMPLE)
-    words = train([record(0, "", "0" * 40, 0, r[0].encode(), None) for r in picked.collect()])
+    target = F.col("_first").isNotNull() & ~revisit
+    rows = joined.select("page_id", "url", "html", "_digest", "_bytes", F.when(revisit, F.col("_first")).alias("_response"), target.alias("_target"))
+    words = train(_sample(hashed))
     return store(rows.mapInArrow(partial(_write, folder=folder, words=words), "path string, records long"), "warc-list")
 
 
