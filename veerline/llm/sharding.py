@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .common import store
 
-#: Ranges per shard, samples per range, and rounds in which overfull ranges are cut again.
-RANGES, SAMPLES, ROUNDS = 32, 32, 4
+#: Ranges per shard, and samples per range.
+RANGES, SAMPLES = 32, 32
 
 
 def text_bytes(text: Column) -> Column:
@@ -57,7 +57,8 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
 
     Shards hold nearly equal bytes. The order is by a hash of the text, then key, then a number that tells
     repeated rows apart, so equal texts lie together and a text that fills a shard is still cut. Splitters
-    come from a size-weighted sample of bounded size; ranges above twice their share are sampled again;
+    come from a size-weighted sample of bounded size; ranges above twice their share are sampled again until no new
+    splitter is found, which takes as many rounds as a range is too large by powers of two;
     neighbouring ranges join into shards by the middle of their bytes. Slots count the rows of a shard from
     0: each range is numbered on its own, then shifted by the ranges before it. Null texts have size 1, null
     keys come first, an empty table gives an empty one, and other columns may have any name.
@@ -77,7 +78,8 @@ def shard(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "te
     total = keyed.agg(F.sum("_size")).first()[0] or 0
     share = max(1.0, total / (shards * RANGES))
     keys = _splitters(keyed, share / SAMPLES) if total else []
-    for _ in range(ROUNDS):
+    # Each round halves the samples' distance in what is still too full, and ends where only single rows are left.
+    while keys:
         ranged = keyed.withColumn("_range", _range_of(keys))
         sizes = ranged.groupBy("_range").agg(F.sum("_size").alias("b"), F.count(F.lit(1)).alias("n"))
         # One row per range: a bounded number.
