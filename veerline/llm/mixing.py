@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcast_below, running_totals, store, word_count
+from .common import broadcast_below, running_totals, store, word_count
 
 #: No document is repeated more often than this.
 EPOCHS = 3
@@ -51,10 +51,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         F.col("row").getField(source).alias("_source"),
         F.md5(F.concat(ident, F.lit(f":{SEED}"))).alias("_key"),
         F.col("row").getField(key).alias("_id"),
+        F.xxhash64(F.col("row").getField(text)).alias("_text"),
         word_count(F.col("row").getField(text)).alias("size"),
     )
-    # Null sources last, as in the weights.
-    order = [F.col("_source").isNull(), F.col("_source"), F.col("_key"), F.col("_id")]
+    # Null sources last, as in the weights; rows that share a key stand in the order of their texts.
+    order = [F.col("_source").isNull(), F.col("_source"), F.col("_key"), F.col("_id"), F.col("_text")]
     placed = running_totals(sized, order, ["size"], "mix-order")
     # One row per source.
     sums = placed.groupBy("_source").agg(F.sum("size").alias("source_size"), F.min("_before_size").alias("_start"))
@@ -76,24 +77,14 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word."""
-    gap = r"[\x20\x09-\x0D]"
-    words = F.regexp_extract_all(text, F.lit(rf"({gap}*{WORD})"), 1)
-    return F.array_join(F.slice(words, 1, n.cast("int")), "")
-
-
 def mixed(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents of the mix: one row per repeat; the document at a source's cut ends there."""
-    chosen = mix(docs, text=text).filter("taken > 0")
-    part = F.when((F.col("cut") > 0) & (F.col("cut") < F.col("size")), F.col("cut"))
-    more = F.when(F.col("cut") > 0, F.array(part)).otherwise(F.array().cast("array<bigint>"))
-    full = F.array_repeat(F.lit(None).cast("long"), F.col("epochs").cast("int"))
-    copies = chosen.select("row", F.explode(F.concat(full, more)).alias("_words"))
-    body = F.col("row").getField(text)
-    kept = F.when(F.col("_words").isNotNull(), first_words(body, F.col("_words"))).otherwise(body)
-    columns = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (text, "n_chars")]
-    out = copies.select(*columns, kept.alias(text))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text).cast("long"))
-    return out.select(*docs.columns)
+    """The documents of the mix, whole: one row per repeat.
+
+    The document at a source's cut is taken if at least half of its words lie before the cut, so a source comes
+    within half a document of its budget. Documents without words (null texts, too) are in no mix; repeated rows
+    count each; an empty table gives an empty one; other columns may have any name.
+    """
+    chosen = mix(docs, text=text).filter("size > 0")
+    more = ((F.col("cut") > 0) & (2 * F.col("cut") >= F.col("size"))).cast("int")
+    copies = F.array_repeat(F.lit(0), F.col("epochs").cast("int") + more)
+    return chosen.select("row", F.explode(copies)).select("row.*")

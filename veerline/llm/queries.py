@@ -49,7 +49,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return mixed.select("row.doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,7 @@ b AS (SELECT *, CAST(round(target) AS BIGINT) AS budget FROM t),
 o AS (SELECT d.doc_id, d.size, b.source_size, b.target, b.budget,
     coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY k, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
     FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
-SELECT doc_id, size, source_size, round(target, 3) AS target,
+SELECT doc_id, size, source_size, target,
     CAST(CASE WHEN source_size = 0 THEN 0 ELSE size * (budget // source_size)
     + greatest(0, least(size, budget - source_size * (budget // source_size) - before)) END AS BIGINT) AS taken FROM o"""
 
