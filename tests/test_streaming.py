@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from veerline.operators import features
 from veerline.operators.baseline import user_baseline_network
-from veerline.streaming import alert_stream, read_event_stream, stream_daily
+from veerline.sinks import save_baseline
+from veerline.streaming import (
+    ROCKSDB,
+    alert_stream,
+    current_alerts,
+    read_event_stream,
+    revised_daily,
+    stream_daily,
+)
 
 from .rows import END, frame, network_row, steady
 
@@ -68,3 +76,41 @@ def test_a_repeated_batch_overwrites_itself(spark, tmp_path):
         alert_stream(stream_daily(stream), baseline, out, str(tmp_path / uuid.uuid4().hex)).awaitTermination()
     assert spark.read.parquet(out).groupBy("finding_id").count().filter(F.col("count") > 1).count() == 0
     assert spark.read.parquet(out).count() == 1
+
+
+def test_distinct_values_are_exact(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    day = END.replace(hour=1)
+    rows = [network_row(day + timedelta(seconds=20 * i), dest_ip=f"10.0.{i % 130}.1", dest_host=None if i % 2 else f"h{i % 14}", bytes_in=None) for i in range(2000)]
+    put(spark, rows + [network_row(day + timedelta(days=3), "bob")], source)
+    daily = stream_daily(read_event_stream(spark, source, spark.read.parquet(source).schema))
+    for _ in range(2):
+        drain(daily, out, state)
+    row = spark.read.schema(daily.schema).parquet(out).filter("user = 'ann'").first()
+    assert (row["daily_events"], row["unique_destinations"], row["unique_hosts"], row["daily_bytes_in"]) == (2000, 130, 7, None)
+    assert (row["active_hours"], row["first_activity_hour"], row["last_activity_hour"]) == (12, 1, 12)
+
+
+def test_alerts_are_corrected_by_late_events(spark, tmp_path):
+    source, out, state, base = (str(tmp_path / n) for n in ("in", "out", "state", "base"))
+    history = steady("ann", 15, lambda i: 2 + i % 3)
+    baseline = user_baseline_network(features.daily_network(frame(spark, history)))
+    save_baseline(baseline, base, 7)
+    quiet = [network_row(END - timedelta(minutes=m), dest_ip=f"203.0.113.{m}") for m in range(3)]
+    loud = [network_row(END - timedelta(minutes=m), dest_ip=f"203.0.113.{m}", bytes_out=10**6) for m in range(3, 60)]
+    seen = []
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    try:
+        for rows in (quiet, [network_row(END + timedelta(days=1), "bob")], loud):
+            put(spark, rows, source)
+            stream = read_event_stream(spark, source, spark.read.parquet(source).schema)
+            alert_stream(revised_daily(stream), base, out, state).awaitTermination()
+            seen.append(sorted((r["user"], str(r["date"])) for r in current_alerts(spark, out).collect()))
+        # A baseline that knows such days takes the alert back with the next event.
+        save_baseline(baseline.withColumn("baseline_avg_bytes_out", F.lit(5.7e7)).withColumn("baseline_avg_events", F.lit(60.0)), base, 8)
+        put(spark, [network_row(END)], source)
+        alert_stream(revised_daily(stream), base, out, state).awaitTermination()
+        seen.append(current_alerts(spark, out).count())
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert seen == [[], [], [("ann", "2024-03-31")], 0]

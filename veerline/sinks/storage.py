@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +43,23 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def publish(spark: SparkSession, path: str, version: int) -> None:
+    """Add a version to the manifest below ``path``: readers see it from now on, whole, as its files are all written."""
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+def published(spark: SparkSession, path: str) -> list[int]:
+    """The published versions in ascending order; none where there is no manifest."""
+    try:
+        rows = spark.read.schema("version int").parquet(f"{path}/manifest").distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    # One small row per version.
+    return sorted(r["version"] for r in rows.collect())
+
+
 def broadcast_if_small(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Mark ``df`` for broadcasting after counting that it has at most the allowed rows.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.bounds import Bounds
-from .storage import materialise
+from .storage import materialise, publish, published
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
@@ -230,10 +230,21 @@ def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
 
-def save_baseline(baseline: DataFrame, path: str) -> None:
-    """Store user baselines, so that scoring need not read the baseline period again."""
-    baseline.write.mode("overwrite").parquet(path)
+def save_baseline(baseline: DataFrame, path: str, version: int | None = None) -> None:
+    """Store user baselines, so that scoring need not read the baseline period again.
+
+    With a version they go beside the earlier ones, for ``latest_baseline``; a repeated version replaces itself.
+    """
+    baseline.write.mode("overwrite").parquet(path if version is None else f"{path}/versions/{version}")
+    if version is not None:
+        publish(baseline.sparkSession, path, version)
 
 
 def load_baseline(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def latest_baseline(spark: SparkSession, path: str) -> DataFrame:
+    """The newest published version below ``path``, or the plain baseline that is stored there."""
+    versions = published(spark, path)
+    return load_baseline(spark, f"{path}/versions/{versions[-1]}" if versions else path)

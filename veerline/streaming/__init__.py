@@ -1,3 +1,13 @@
-from .stream import alert_stream, read_event_stream, score_stream, stream_daily
+from .stream import (
+    ROCKSDB,
+    alert_stream,
+    current_alerts,
+    read_event_stream,
+    revised_daily,
+    score_stream,
+    stream_daily,
+)
 
-__all__ = ["alert_stream", "read_event_stream", "score_stream", "stream_daily"]
+__all__ = [
+    "ROCKSDB", "alert_stream", "current_alerts", "read_event_stream", "revised_daily", "score_stream", "stream_daily",
+]

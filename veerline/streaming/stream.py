@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+from datetime import datetime, time, timedelta, timezone
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..config import DEFAULT, Settings
 from ..functions.text import finding_id
 from ..operators.features import network_aggregates
 from ..operators.model import RiskModel, score_batch
 from ..operators.scores import attach_baseline, network_score
+from ..sinks.tables import latest_baseline
 
 STREAM_COLUMNS = (
     "daily_events", "daily_bytes_out", "daily_bytes_in", "unique_destinations", "unique_hosts",
@@ -28,44 +35,172 @@ def score_stream(stream: DataFrame, model: RiskModel, settings: Settings = DEFAU
     return score_batch(stream, model, settings)
 
 
-def stream_daily(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
+def stream_daily(stream: DataFrame, delay: str = "1 hour", approx: bool = False) -> DataFrame:
     """Daily features per user, emitted once a day is past the watermark.
 
-    Events later than the delay are dropped. State is one row per user and open day: distinct
-    counts are sketches (a stream allows no exact distinct aggregation), hours are exact.
+    Events later than the delay are dropped. Two aggregations follow one another: events are gathered by user, day
+    *and value*, for each of the two columns whose distinct values count, then by user and day. So no state holds a
+    list of values, and a user with very many events or values is spread over all tasks. ``approx=True`` takes one
+    aggregation with sketches instead; its state is one row per user and open day.
     """
-    aggregates = network_aggregates(approx=True)
-    return (
-        stream.withWatermark("event_time", delay)
-        .groupBy("user", F.window("event_time", "1 day"))
-        .agg(*[aggregates[c].alias(c) for c in STREAM_COLUMNS])
-        .select("user", F.to_date("window.start").alias("date"), *STREAM_COLUMNS)
+    if approx:
+        aggregates = network_aggregates(approx=True)
+        daily = stream.withWatermark("event_time", delay).groupBy("user", F.window("event_time", "1 day"))
+        return daily.agg(*[aggregates[c].alias(c) for c in STREAM_COLUMNS]).select(
+            "user", F.to_date("window.start").alias("date"), *STREAM_COLUMNS
+        )
+    kinds = F.array(
+        F.struct(F.lit("event").alias("kind"), F.lit(None).cast("string").alias("value")),
+        *[F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in ("dest_ip", "dest_host")],
+    )
+    events = F.col("kind") == "event"
+    # Distinct values only need one row per value, so they carry no sums.
+    spread = stream.withWatermark("event_time", delay).select(
+        "event_time", "user", F.explode(kinds).alias("x"), "bytes_out", "bytes_in", F.hour("event_time").alias("hour")
+    ).select("event_time", "user", "x.*", "bytes_out", "bytes_in", "hour").filter(events | F.col("value").isNotNull())
+    bit = F.call_function("shiftleft", F.lit(1), F.col("hour"))
+    values = spread.groupBy("user", "kind", "value", F.window("event_time", "1 day")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bytes_out").alias("bytes_out"), F.sum("bytes_in").alias("bytes_in"),
+        F.bit_or(bit).alias("hours"), F.min("hour").alias("first"), F.max("hour").alias("last"),
+    )
+    whole = {
+        "daily_events": F.sum(F.when(events, F.col("n"))),
+        "daily_bytes_out": F.sum(F.when(events, F.col("bytes_out"))),
+        "daily_bytes_in": F.sum(F.when(events, F.col("bytes_in"))),
+        "unique_destinations": F.count_if(F.col("kind") == "dest_ip"),
+        "unique_hosts": F.count_if(F.col("kind") == "dest_host"),
+        "active_hours": F.bit_count(F.bit_or("hours")).cast("bigint"),
+        "first_activity_hour": F.min("first"),
+        "last_activity_hour": F.max("last"),
+    }
+    daily = values.groupBy("user", F.window(F.window_time("window"), "1 day").alias("day"))
+    return daily.agg(*[whole[c].alias(c) for c in STREAM_COLUMNS]).select(
+        "user", F.to_date("day.start").alias("date"), *STREAM_COLUMNS
     )
 
 
+#: The state of an open user-day: sums, a bit per hour, and how often its row has been sent.
+DAY_STATE = "events long, bytes_out long, bytes_in long, hours long, revision long"
+REVISED_COLUMNS = (*STREAM_COLUMNS, "revision")
+
+
+class DayProcessor(StatefulProcessor):
+    """Keeps each user-day open for late events: a batch that touches it sends its features again.
+
+    Distinct values are entries of a state map, each a record of its own in the state store.
+    """
+
+    def __init__(self, keep: timedelta):
+        self.keep = keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.day = handle.getValueState("day", DAY_STATE)
+        self.seen = {c: handle.getMapState(c, "value string", "seen boolean") for c in ("dest_ip", "dest_host")}
+        self.counts = handle.getValueState("counts", "dest_ip long, dest_host long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        events, hours, revision = (0, 0, 0)
+        bytes_out = bytes_in = None
+        if self.day.exists():
+            events, bytes_out, bytes_in, hours, revision = self.day.get()
+        else:
+            # The state goes once the watermark is past the day and the time that it is kept for.
+            midnight = datetime.combine(key[1], time(), timezone.utc) + timedelta(days=1) + self.keep
+            self.handle.registerTimer(int(midnight.timestamp() * 1000))
+        counts = list(self.counts.get()) if self.counts.exists() else [0, 0]
+        for part in rows:
+            events += len(part)
+            if part["bytes_out"].notna().any():
+                bytes_out = (bytes_out or 0) + int(part["bytes_out"].sum())
+            if part["bytes_in"].notna().any():
+                bytes_in = (bytes_in or 0) + int(part["bytes_in"].sum())
+            for hour in part["hour"].unique():
+                hours |= 1 << int(hour)
+            for i, name in enumerate(("dest_ip", "dest_host")):
+                for value in part[name].dropna().unique():
+                    if not self.seen[name].containsKey((value,)):
+                        self.seen[name].updateValue((value,), (True,))
+                        counts[i] += 1
+        self.day.update((events, bytes_out, bytes_in, hours, revision + 1))
+        self.counts.update(tuple(counts))
+        cells = [key[0], key[1], events, bytes_out, bytes_in, *counts, bin(hours).count("1"), (hours & -hours).bit_length() - 1, hours.bit_length() - 1, revision + 1]
+        yield pd.DataFrame([cells], columns=["user", "date", *REVISED_COLUMNS]).astype({"daily_bytes_out": "Int64", "daily_bytes_in": "Int64"})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        for state in (self.day, self.counts, *self.seen.values()):
+            state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def revised_daily(stream: DataFrame, keep: timedelta = timedelta(days=3)) -> DataFrame:
+    """Daily features per user after every batch that holds an event of the day, with a ``revision`` from 1.
+
+    An event that comes within ``keep`` of the latest one still counts; a day's state is cleared when it can get none
+    any more. Needs the state store provider ``ROCKSDB`` in ``spark.sql.streaming.stateStore.providerClass``.
+    """
+    # The state processor's runner does not know the driver's module path, so the class goes there by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    watched = stream.withWatermark("event_time", f"{int(keep.total_seconds())} seconds")
+    narrow = watched.select(
+        "event_time", "user", F.to_date("event_time").alias("date"), F.hour("event_time").alias("hour"), "bytes_out", "bytes_in", "dest_ip", "dest_host"
+    ).filter("date IS NOT NULL")
+    schema = (
+        "user string, date date, daily_events long, daily_bytes_out long, daily_bytes_in long, unique_destinations long,"
+        " unique_hosts long, active_hours long, first_activity_hour int, last_activity_hour int, revision long"
+    )
+    return narrow.groupBy("user", "date").transformWithStateInPandas(
+        statefulProcessor=DayProcessor(keep), outputStructType=schema, outputMode="Update", timeMode="EventTime"
+    )
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def alert_stream(
     daily: DataFrame,
-    baseline: DataFrame,
+    baseline: DataFrame | str,
     path: str,
     checkpoint: str,
     settings: Settings = DEFAULT,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Score finished user-days against the stored baseline and store those at high risk.
+    """Score user-days against the stored baseline and store those at high risk.
 
-    Each batch owns one folder, which a repeated batch overwrites: restarts add no row twice.
+    ``baseline`` may be the path of a versioned store (``save_baseline`` with a version): each batch takes the newest
+    version. ``trigger`` is that of the writer, ``{"processingTime": "1 minute"}`` for a stream that keeps running; by
+    default what is there is processed and the query ends. Each batch owns one folder, which a repeated batch
+    overwrites: restarts add no row twice. Rows of ``revised_daily`` are stored whatever their score once they are
+    corrections, and ``current_alerts`` takes the last one of each user-day.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        scored = network_score(attach_baseline(batch, baseline), settings)
-        alerts = scored.filter(F.col("network_anomaly_score") >= settings.high).select(
+        base = latest_baseline(batch.sparkSession, baseline) if isinstance(baseline, str) else baseline
+        scored = network_score(attach_baseline(batch, base), settings)
+        high = F.col("network_anomaly_score") >= settings.high
+        revised = [F.col("revision")] if "revision" in batch.columns else []
+        alerts = scored.filter(high | (F.col("revision") > 1) if revised else high).select(
             finding_id("network_anomaly").alias("finding_id"),
-            "user", "date", "network_anomaly_score", "network_anomaly_level",
+            "user", "date", "network_anomaly_score", "network_anomaly_level", *revised,
         )
         alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         daily.writeStream.foreachBatch(store)
+        .outputMode("update" if "revision" in daily.columns else "append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def current_alerts(spark: SparkSession, path: str, settings: Settings = DEFAULT) -> DataFrame:
+    """The alerts that hold now: of each user-day the last revision, if its score is still high."""
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    revision = F.col("revision") if "revision" in rows.columns else F.lit(1)
+    kept = [c for c in rows.columns if c not in ("batch_id", "revision")]
+    last = rows.groupBy("finding_id").agg(F.max_by(F.struct(*kept), F.struct(revision, F.col("batch_id"))).alias("_row"))
+    return last.select("_row.*").filter(F.col("network_anomaly_score") >= settings.high)
