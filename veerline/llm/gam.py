@@ -178,7 +178,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", t
     known = store(sampled(labelled(labels, label, key), rows), "labels")
     joined = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(broadcast_below(known), F.col("_id") == F.col("_key"))
     # Repeated rows of a key could exceed the bound again.
-    fit_rows = sampled(joined.select(F.struct("_id", "_label").alias("_at"), "_text", F.col("_id").alias("_key")), rows)
+    held = store(joined.select(F.struct("_id", "_label").alias("_at"), "_text", F.col("_id").alias("_key")), "labelled-texts")
+    fit_rows = sampled(held, rows)
     seen = features(fit_rows.repartition(partitions(docs.sparkSession)), "_at", "_text")
     found = seen.select("_at._id", F.col("_at._label").alias("y"), "x").orderBy(F.xxhash64("_id"), "_id", "y").toPandas()
     x = np.array(found["x"].tolist(), "float64").reshape(len(found), len(FEATURES))

@@ -98,8 +98,9 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         (F.length(F.array_join("lines", "")) - F.length(F.array_join(F.array_distinct("lines"), ""))).cast("long")
         .alias("n_dup_line_chars"),
         F.expr(repeated).cast("long").alias("n_repeat_words"),
-        F.regexp_count("t", F.lit(r"\p{L}")).cast("long").alias("n_letters"),
-        F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_capitals"),
+        # What is left without all others: one match per gap, not per letter.
+        F.length(F.regexp_replace("t", r"\P{L}+", "")).cast("long").alias("n_letters"),
+        F.length(F.regexp_replace("t", r"\P{Lu}+", "")).cast("long").alias("n_capitals"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"(?:\.\.\.|…)[\x20\x09-\x0D]*\z"))).cast("long")
         .alias("n_ellipsis_lines"),
