@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +32,15 @@ from veerline.operators import (
     rules,
     scores,
 )
-from veerline.plans import covered_by, detect, train
+from veerline.plans import (
+    baseline_of_days,
+    covered_by,
+    detect,
+    refresh_days,
+    rolling_scores,
+    stored_days,
+    train,
+)
 from veerline.streaming import (
     ROCKSDB,
     alert_stream,
@@ -226,6 +234,81 @@ def _(spark, sf):
     )
 
 
+def _database(spark) -> str:
+    return f"veerline_{uuid.uuid4().hex}"
+
+
+PRODUCTION = SETTINGS.with_(synthetic=False, partition_column="EVENT_DATE")
+
+
+def _production(spark, sf) -> str:
+    """A database with the OCSF-shaped tables by day, loaded in two steps that share a day."""
+    name = _database(spark)
+    tables = sources.create_tables(spark, name, partition_column="EVENT_DATE")
+    rows = views.ocsf_network(spark, sf)
+    for part in ("EVENT_TIME < TIMESTAMP_NTZ '2024-01-11 00:00:00'", "EVENT_TIME >= TIMESTAMP_NTZ '2024-01-10 00:00:00'"):
+        sources.load_days(rows.filter(part), tables[0], "EVENT_DATE")
+    sources.load_days(views.ocsf_process(spark, sf), tables[1], "EVENT_DATE")
+    return name
+
+
+@check("a3_read_sources", f"SELECT {NET_FLAT}, CAST(event_time AS DATE) AS event_date FROM net", times="event_time", dates="event_date")
+def _(spark, sf):
+    network_events, process_events = sources.read_sources(spark, PRODUCTION.with_(catalog=_production(spark, sf)))
+    assert process_events is not None
+    return network_events.withColumnRenamed("EVENT_DATE", "event_date").select(*NET_COLUMNS, "event_date")
+
+
+@check("a9_declared_schema", f"SELECT event_id, {NET_FLAT}, is_anomaly FROM net", times="event_time")
+def _(spark, sf):
+    """Events written and read under the declared schema."""
+    path = _scratch(spark, "declared")
+    declared = [f for f in schemas.NETWORK_EVENTS if f.name in ("event_id", "is_anomaly", *NET_COLUMNS)]
+    network(spark, sf).select(*[F.col(f.name).cast(f.dataType) for f in declared]).write.parquet(path)
+    return sources.read_events(spark, path, schemas.NETWORK_EVENTS).select(*[f.name for f in declared])
+
+
+@check("a10_create_tables", f"SELECT {PROC_FLAT}, CAST(event_time AS DATE) AS event_date FROM procx", times="event_time", dates="event_date")
+def _(spark, sf):
+    _, found = sources.read_sources(spark, PRODUCTION.with_(catalog=_production(spark, sf)))
+    return found.withColumnRenamed("EVENT_DATE", "event_date").select(*PROC_COLUMNS, "event_date")
+
+
+def _event_table(spark, sf) -> str:
+    name = f"{_database(spark)}"
+    spark.sql(f"CREATE DATABASE {name}")
+    sinks.write_table(network(spark, sf), f"{name}.network")
+    return f"{name}.network"
+
+
+@check(
+    "a11_describe",
+    """SELECT unnest(['event_id', 'event_time', 'user', 'dest_port', 'is_anomaly']) AS col_name,
+           unnest([typeof(event_id), typeof(event_time), typeof("user"), typeof(dest_port), typeof(is_anomaly)]) AS data_type
+       FROM (SELECT * FROM net LIMIT 1) n""",
+)
+def _(spark, sf):
+    names = {"timestamp_ntz": "TIMESTAMP", "string": "VARCHAR", "int": "INTEGER"}
+    kind = F.upper("data_type")
+    for mine, theirs in names.items():
+        kind = F.when(F.col("data_type") == mine, theirs).otherwise(kind)
+    rows = sources.describe(spark, _event_table(spark, sf)).select("col_name", kind.alias("data_type"))
+    return rows.filter(F.col("col_name").isin("event_id", "event_time", "user", "dest_port", "is_anomaly")).distinct()
+
+
+@check("l6_table_statistics", "SELECT count(*) AS rows FROM net")
+def _(spark, sf):
+    name = _event_table(spark, sf)
+    sinks.analyze(spark, name)
+    stats = sources.describe(spark, name).filter("col_name = 'Statistics'")
+    return stats.select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("rows"))
+
+
+@check("i6_preview", "SELECT event_id, event_time, \"user\", bytes_out FROM net ORDER BY event_time, event_id LIMIT 20", times="event_time")
+def _(spark, sf):
+    return network(spark, sf).select("event_id", "event_time", "user", "bytes_out").orderBy("event_time", "event_id").limit(20)
+
+
 @check(
     "a12_read_findings",
     """
@@ -1696,6 +1779,89 @@ def _(spark, sf):
     return spark.read.parquet(path).select("date", "user", "event_id", "bytes_out")
 
 
+@check(
+    "l5_write_events_daily",
+    'SELECT CAST(event_time AS DATE) AS date, "user", event_id, bytes_out FROM net', dates="date",
+)
+def _(spark, sf):
+    """Two loads, the second with a day that the first had in part: both are kept, the day once."""
+    path = _scratch(spark, "events-daily")
+    events = network(spark, sf)
+    for part in ("event_time < TIMESTAMP_NTZ '2024-01-15 12:00:00'", "event_time >= TIMESTAMP_NTZ '2024-01-15 00:00:00'"):
+        sinks.write_events(events.filter(part), path, replace="days")
+    return spark.read.parquet(path).select("date", "user", "event_id", "bytes_out")
+
+
+def _refreshed(spark, sf) -> str:
+    """The store of user-days after two runs, the first of which ended in the middle of a day."""
+    path = _scratch(spark, "days")
+    events = network(spark, sf)
+    refresh_days(events.filter("event_time < TIMESTAMP_NTZ '2024-01-20 12:00:00'"), path, SETTINGS.with_(analysis_days=12))
+    computed = refresh_days(events, path, SETTINGS)
+    assert min(computed).isoformat() == "2024-01-20"
+    return path
+
+
+WHOLE_DAYS_SQL = """
+    SELECT "user", CAST(event_time AS DATE) AS date, count(*) AS daily_events,
+           CAST(sum(bytes_out) AS BIGINT) AS daily_bytes_out, count(DISTINCT dest_ip) AS unique_destinations,
+           count(DISTINCT dest_host) AS unique_hosts, count(DISTINCT hour(event_time)) AS active_hours,
+           min(hour(event_time)) AS first_activity_hour, max(hour(event_time)) AS last_activity_hour
+    FROM net GROUP BY 1, 2"""
+
+
+@check(
+    "l7_merged_baseline",
+    f"""SELECT "user", avg(daily_events) AS baseline_avg_events, stddev_samp(daily_events) AS baseline_std_events,
+         max(daily_events) AS baseline_max_events,
+         avg(daily_bytes_out) AS baseline_avg_bytes_out, stddev_samp(daily_bytes_out) AS baseline_std_bytes_out,
+         max(daily_bytes_out) AS baseline_max_bytes_out,
+         avg(unique_destinations) AS baseline_avg_destinations, stddev_samp(unique_destinations) AS baseline_std_destinations,
+         avg(unique_hosts) AS baseline_avg_hosts, stddev_samp(unique_hosts) AS baseline_std_hosts,
+         avg(active_hours) AS baseline_avg_active_hours, avg(first_activity_hour) AS baseline_typical_start_hour,
+         avg(last_activity_hour) AS baseline_typical_end_hour, count(*) AS baseline_active_days
+        FROM ({WHOLE_DAYS_SQL}) d, b WHERE date >= CAST(baseline_start AS DATE) AND date < CAST(analysis_start AS DATE)
+        GROUP BY "user" """,
+    BASELINE_DOUBLES,
+)
+def _(spark, sf):
+    """The baseline of whole days, from user-days that two runs have stored."""
+    bounds = bd.resolve_bounds(network(spark, sf), SETTINGS)
+    days = [date.fromisoformat(getattr(bounds, n)[:10]) for n in ("baseline_start", "analysis_start")]
+    return baseline_of_days(stored_days(spark, _refreshed(spark, sf)), *days)
+
+
+ROLLED = ["events", "bytes_out", "destinations", "hosts"]
+
+
+@check(
+    "e18_rolling_scores",
+    f"""
+    WITH d AS (SELECT x.*, date_diff('day', DATE '2024-01-01', date) AS day_no FROM ({WHOLE_DAYS_SQL}) x, b
+               WHERE date >= CAST(baseline_start AS DATE)),
+    r AS (SELECT d.*, avg(daily_events) OVER w AS ae, stddev_samp(daily_events) OVER w AS se,
+                 avg(daily_bytes_out) OVER w AS ab, stddev_samp(daily_bytes_out) OVER w AS sb,
+                 avg(unique_destinations) OVER w AS ad, stddev_samp(unique_destinations) OVER w AS sd,
+                 avg(unique_hosts) OVER w AS ah, stddev_samp(unique_hosts) OVER w AS sh,
+                 avg(first_activity_hour) OVER w AS fh, avg(last_activity_hour) OVER w AS lh
+          FROM d WINDOW w AS (PARTITION BY "user" ORDER BY day_no RANGE BETWEEN 21 PRECEDING AND 1 PRECEDING)),
+    z AS (SELECT *, coalesce(CASE WHEN se > 0 THEN abs(daily_events - ae) / se END, 0) AS ze,
+                 coalesce(CASE WHEN sb > 0 THEN abs(daily_bytes_out - ab) / sb END, 0) AS zb,
+                 coalesce(CASE WHEN sd > 0 THEN abs(unique_destinations - ad) / sd END, 0) AS zd,
+                 coalesce(CASE WHEN sh > 0 THEN abs(unique_hosts - ah) / sh END, 0) AS zh,
+                 CASE WHEN first_activity_hour < fh - 2 OR last_activity_hour > lh + 2 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS ho FROM r)
+    SELECT "user", date, least(ze / 3.0::DOUBLE, 1.0::DOUBLE) * 0.2::DOUBLE + least(zb / 3.0::DOUBLE, 1.0::DOUBLE) * 0.4::DOUBLE
+           + least(zd / 3.0::DOUBLE, 1.0::DOUBLE) * 0.2::DOUBLE + least(zh / 3.0::DOUBLE, 1.0::DOUBLE) * 0.1::DOUBLE
+           + ho * 0.1::DOUBLE AS network_anomaly_score FROM z, b WHERE date >= CAST(analysis_start AS DATE)
+    """,
+    "network_anomaly_score", "date",
+)
+def _(spark, sf):
+    start = date.fromisoformat(bd.resolve_bounds(network(spark, sf), SETTINGS).analysis_start[:10])
+    scored = rolling_scores(stored_days(spark, _refreshed(spark, sf)), SETTINGS, start)
+    return scored.select("user", "date", "network_anomaly_score")
+
+
 @check("l7_saved_baseline", "SELECT * FROM net_base", BASELINE_DOUBLES)
 def _(spark, sf):
     path = _scratch(spark, "baseline")

@@ -112,3 +112,32 @@ def test_events_are_never_shuffled_by_user_alone(spark, daily):
     assert "gid" in first and len(first) > 4
     # Map-side aggregation stands below the first shuffle.
     assert "partial_sum" in text.split("Exchange hashpartitioning")[-1] or "partial_count" in text
+
+
+def test_production_reads_prune_partitions(spark):
+    from checks.queries import PRODUCTION, _production
+    from veerline.sources import read_sources
+
+    settings = PRODUCTION.with_(catalog=_production(spark, SF_DIR))
+    for events in read_sources(spark, settings):
+        bounds = bd.resolve_bounds(events, settings)
+        text = plan_of(features.daily_network(bd.in_analysis(events, bounds, settings), ("daily_events",)) if "bytes_out" in events.columns
+                       else bd.in_analysis(events, bounds, settings).select("user"))
+        found = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+        assert "EVENT_DATE" in found and ">=" in found and "<=" in found
+
+
+def test_a_daily_run_reads_the_new_days_only(spark, tmp_path):
+    from veerline.plans import baseline_of_days, refresh_days, stored_days
+
+    events, days = str(tmp_path / "events"), str(tmp_path / "days")
+    sinks.write_events(views.network(spark, SF_DIR), events)
+    settings = SETTINGS.with_(partition_column="date")
+    table = spark.read.parquet(events)
+    first = refresh_days(table.filter("date <= DATE '2024-01-28'"), days, settings)
+    assert len(first) == 29
+    # One day that was the last then, and those since.
+    assert [str(d) for d in refresh_days(table, days, settings)] == ["2024-01-28", "2024-01-29", "2024-01-30"]
+    assert [str(d) for d in refresh_days(table, days, settings)] == ["2024-01-30"]
+    text = plan_of(baseline_of_days(stored_days(spark, days), first[10], first[20]))
+    assert re.search(r"PartitionFilters: \[[^\]]*date", text)

@@ -72,3 +72,25 @@ def rolling_baseline(
         columns[f"rolling_std_{metric}"] = F.stddev(metric).over(trailing)
     columns["rolling_days"] = F.count(F.lit(1)).over(trailing)
     return daily.withColumns(columns)
+
+
+#: Baseline columns that a score needs, and the daily metric that each is taken from.
+ROLLING = {
+    "events": "daily_events", "bytes_out": "daily_bytes_out", "destinations": "unique_destinations", "hosts": "unique_hosts",
+}
+
+
+def rolling_as_baseline(daily: DataFrame, days: int = 21) -> DataFrame:
+    """User-days with the baseline columns of the ``days`` days before each, so that they can be scored at any date.
+
+    A user's rows are at most one per day, however many events lie behind them.
+    """
+    trailing = Window.partitionBy("user").orderBy(F.unix_date("date")).rangeBetween(-days, -1)
+    columns = {}
+    for name, metric in ROLLING.items():
+        columns[f"baseline_avg_{name}"] = F.avg(metric).over(trailing)
+        columns[f"baseline_std_{name}"] = F.stddev(metric).over(trailing)
+    columns["baseline_typical_start_hour"] = F.avg("first_activity_hour").over(trailing)
+    columns["baseline_typical_end_hour"] = F.avg("last_activity_hour").over(trailing)
+    columns["baseline_active_days"] = F.count(F.lit(1)).over(trailing)
+    return daily.withColumns(columns)

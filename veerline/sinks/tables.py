@@ -214,16 +214,20 @@ def append_to_table(findings: DataFrame, table: str, covered: Covered | None = N
     _aligned(materialise(changes, "new-findings"), stored.schema).write.insertInto(table)
 
 
-def write_events(events: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_events(events: DataFrame, path: str, partitions: int | None = None, replace: str = "all") -> None:
     """Lay events out by day, and within a day clustered by user and time.
 
-    The time is part of the range key, so that a user with very many events is spread over
-    several files instead of filling one task.
+    The time is part of the range key, so that a user with very many events is spread over several files instead
+    of filling one task. ``replace="days"`` is the daily load: only the days of ``events`` are replaced, each as a
+    whole, so a repeated load adds nothing and earlier days stay.
     """
+    if replace not in ("all", "days"):
+        raise ValueError("replace all or days")
     keys = ["date", "user", "event_time"]
     dated = events.withColumn("date", F.to_date("event_time"))
     ranged = dated.repartitionByRange(partitions, *keys) if partitions else dated.repartitionByRange(*keys)
-    ranged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("date").parquet(path)
+    writer = ranged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy("date")
+    writer.option("partitionOverwriteMode", "dynamic" if replace == "days" else "static").parquet(path)
 
 
 def analyze(spark: SparkSession, table: str) -> None:

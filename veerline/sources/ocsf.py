@@ -71,7 +71,12 @@ def _seconds(later: str, earlier: str) -> Column:
     return (F.unix_micros(F.col(later).cast("timestamp")) - F.unix_micros(F.col(earlier).cast("timestamp"))) / 1e6
 
 
-def flatten_network(df: DataFrame) -> DataFrame:
+def _kept(partition_column: str | None) -> list[Column]:
+    """The column a table is partitioned by, passed on as it is: only then are whole partitions pruned."""
+    return [F.col(partition_column)] if partition_column else []
+
+
+def flatten_network(df: DataFrame, partition_column: str | None = None) -> DataFrame:
     """OCSF network activity to flat network events.
 
     The user is ``_USER``, else the owner of the source endpoint; rows with neither are kept
@@ -106,6 +111,7 @@ def flatten_network(df: DataFrame) -> DataFrame:
         .cast("int")
         .alias("session_duration"),
         F.coalesce(_text("DISPOSITION"), _text("_ACTION")).alias("action"),
+        *_kept(partition_column),
     )
 
 
@@ -116,7 +122,7 @@ def _hash_of(algorithm: str) -> Column:
     return F.get(matching, 0)["value"]
 
 
-def flatten_process(df: DataFrame) -> DataFrame:
+def flatten_process(df: DataFrame, partition_column: str | None = None) -> DataFrame:
     """OCSF process activity to flat process events; the ``PROCESS`` cell fills empty columns."""
     df = df.withColumn("_process", F.from_json("PROCESS", _PROCESS))
     return df.select(
@@ -132,6 +138,7 @@ def flatten_process(df: DataFrame) -> DataFrame:
         F.coalesce(_text("MD5_HASH"), _hash_of("MD5")).alias("md5_hash"),
         F.coalesce(_text("SHA256_HASH"), _hash_of("SHA-256")).alias("sha256_hash"),
         _text("EVENT_PLATFORM").alias("os_platform"),
+        *_kept(partition_column),
     )
 
 

@@ -45,8 +45,9 @@ def read_optional(
 def read_sources(spark: SparkSession, settings: Settings = DEFAULT) -> tuple[DataFrame, DataFrame | None]:
     """Network and process events of the configured data source, as flat events.
 
-    Production tables are OCSF-shaped and are flattened; without a process table the
-    second value is ``None`` and the analysis runs on network events alone.
+    Production tables are OCSF-shaped and are flattened; ``settings.partition_column`` stays a column of its own, so
+    that the time bounds prune whole partitions. Without a process table the second value is ``None`` and the
+    analysis runs on network events alone.
     """
     from .ocsf import flatten_network, flatten_process
 
@@ -54,8 +55,8 @@ def read_sources(spark: SparkSession, settings: Settings = DEFAULT) -> tuple[Dat
     network = read_events(spark, names["network"])
     process = read_optional(spark, names["process"])
     if not settings.synthetic:
-        network = flatten_network(network)
-        process = flatten_process(process) if process is not None else None
+        network = flatten_network(network, settings.partition_column)
+        process = flatten_process(process, settings.partition_column) if process is not None else None
     return network, process
 
 
@@ -70,18 +71,49 @@ def read_findings(
     )
 
 
-def create_tables(spark: SparkSession, database: str, fmt: str = "parquet") -> list[str]:
-    """Create the database and its three OCSF-shaped tables where they do not exist."""
+def create_tables(
+    spark: SparkSession, database: str, fmt: str = "parquet", partition_column: str | None = None
+) -> list[str]:
+    """Create the database and its three OCSF-shaped tables where they do not exist.
+
+    With ``partition_column`` each table gets a date column of that name and is partitioned by it.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     names = []
     for name, schema in schemas.TABLES.items():
-        columns = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()} COMMENT '{f.metadata['comment']}'" for f in schema
-        )
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING {fmt}")
+        columns = [f"`{f.name}` {f.dataType.simpleString()} COMMENT '{f.metadata['comment']}'" for f in schema]
+        parted = ""
+        if partition_column:
+            columns.append(f"`{partition_column}` date COMMENT 'day of EVENT_TIME'")
+            parted = f" PARTITIONED BY (`{partition_column}`)"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({', '.join(columns)}) USING {fmt}{parted}")
         names.append(f"{database}.{name}")
     return names
 
 
+def load_days(events: DataFrame, table: str, partition_column: str) -> None:
+    """Load OCSF-shaped rows into a partitioned table: the days of ``events`` are replaced, all others stay.
+
+    Names match without regard to case; columns that the rows lack are NULL. Loading a day again gives the same table.
+    """
+    spark = events.sparkSession
+    given = {c.lower(): c for c in events.columns}
+    day = F.to_date(F.col(given["event_time"]))
+    cells = []
+    for field in spark.table(table).schema:
+        held = F.col(f"`{given[field.name.lower()]}`") if field.name.lower() in given else F.lit(None)
+        cells.append((day if field.name == partition_column else held).cast(field.dataType).alias(field.name))
+    # A day with very many rows fills several files.
+    ranged = events.select(*cells).repartitionByRange(partition_column, given["event_time"])
+    # A catalog table takes this mode from the session only.
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        ranged.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(name, before)
+
+
 def describe(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE EXTENDED {table}")
