@@ -39,7 +39,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/veerline/{label}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    # Texts take a third less room than with the default codec.
+    df.write.option("compression", "zstd").mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
