@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veerline import schemas, sinks, sources
@@ -784,11 +785,17 @@ def _(spark, sf):
 
 @check(
     "c27_rates",
-    "SELECT avg(CASE WHEN combined_risk_score >= 0.7::DOUBLE THEN 1 ELSE 0 END) AS high_risk_rate FROM risk",
-    "high_risk_rate",
+    """SELECT avg(CASE WHEN combined_risk_score >= 0.7::DOUBLE THEN 1 ELSE 0 END) AS high_risk_rate,
+              any_value(n) AS model_anomalies, any_value(share) AS model_anomaly_rate
+       FROM risk, (SELECT count(*) FILTER (WHERE anomaly_score < q) AS n,
+                          count(*) FILTER (WHERE anomaly_score < q)::DOUBLE / count(*) AS share
+                   FROM vec, (SELECT quantile_cont(anomaly_score, 0.1) AS q FROM vec) t) m""",
+    "high_risk_rate model_anomaly_rate",
 )
 def _(spark, sf):
-    return reports.rates(_detect(spark, sf).risk, SETTINGS)
+    vectors = _vectors(spark, sf)
+    flagged = model.flag_anomalies(vectors, model.threshold_at(vectors, 0.1))
+    return reports.rates(_detect(spark, sf).risk, SETTINGS, flagged)
 
 
 @check(
@@ -988,6 +995,29 @@ def _(spark, sf):
     return _with_fallback(spark, sf).select("user", "date", "peer_group", "baseline_source", *FALLBACK_COLUMNS)
 
 
+PLACED = """(
+    SELECT "user", peer_group FROM peers
+    UNION ALL
+    SELECT "user", g AS peer_group FROM (
+      SELECT m."user", c.peer_group AS g, row_number() OVER (PARTITION BY m."user" ORDER BY (e - v) * (e - v) + (o - v) * (o - v), c.peer_group) AS k
+      FROM (SELECT "user", (avg(daily_events) - any_value(min_e)) / (any_value(max_e) - any_value(min_e)) AS e,
+                   (avg(daily_bytes_out) - any_value(min_b)) / (any_value(max_b) - any_value(min_b)) AS o
+            FROM net_daily, ranges WHERE period = 'analysis' AND "user" NOT IN (SELECT "user" FROM net_base) GROUP BY "user") m,
+           centroids c) n WHERE k = 1)"""
+
+
+@check(
+    "d12_detect_cold_start",
+    f"""SELECT "user", date, peer_group, baseline_source, {", ".join(FALLBACK_COLUMNS)}
+        FROM ({FALLBACK_SQL.replace("JOIN roles", f"JOIN {PLACED}")}) f""",
+    " ".join(FALLBACK_COLUMNS), "date",
+)
+def _(spark, sf):
+    """New users are placed among the peers by the analysis itself."""
+    found = detect(network(spark, sf), process(spark, sf), SETTINGS.with_(peer_fallback=True), _peer_model)
+    return found.scored_network.select("user", "date", "peer_group", "baseline_source", *FALLBACK_COLUMNS)
+
+
 # --- E: scores ---------------------------------------------------------------------------
 
 Z_NET = "events_zscore bytes_out_zscore destinations_zscore hosts_zscore"
@@ -1335,23 +1365,52 @@ def _(spark, sf):
     )
 
 
-@check("f2_peer_groups")
+# K-means numbers its groups arbitrarily, and a forest is random: what is compared is that each result follows from
+# the fitted model, worked out another way.
+
+
+def _peer_model(base: DataFrame) -> pr.PeerModel:
+    """The fixed centres as a model, with the ranges that scale their features."""
+    ranges = pr.feature_ranges(base, pr.TWO_FEATURES).first().asDict()
+    return pr.PeerModel(_peers_of(base), CENTROIDS, 0, 0.0, pr.TWO_FEATURES, ranges)
+
+
+def _fitted(spark, sf):
+    base = sinks.materialise(_baseline(spark, sf), "baseline")
+    return base, pr.peer_groups(base, SETTINGS)
+
+
+@check("f2_peer_groups", 'SELECT "user", TRUE AS nearest FROM net_base')
 def _(spark, sf):
-    return pr.peer_groups(sinks.materialise(_baseline(spark, sf), "baseline"), SETTINGS).groups
+    base, found = _fitted(spark, sf)
+    placed = pr.place_users(base.select("user", *pr.TWO_FEATURES), found).withColumnRenamed("peer_group", "placed")
+    return found.groups.join(placed, "user").select("user", (F.col("peer_group") == F.col("placed")).alias("nearest"))
 
 
-@check("f3_peer_groups_six_features")
+@check(
+    "f3_peer_groups_six_features",
+    'SELECT "user", TRUE AS nearest FROM (SELECT "user" FROM net_base UNION SELECT "user" FROM proc_base) u',
+)
 def _(spark, sf):
     bounds = _bounds(spark, sf)
     base = sinks.materialise(_baseline(spark, sf, bounds), "baseline")
     runs = sinks.materialise(_process_baseline(spark, sf, bounds), "process-baseline")
-    return pr.peer_groups_standardized(base, runs, SETTINGS).groups
+    found = pr.peer_groups_standardized(base, runs, SETTINGS)
+    users = base.join(runs, "user", "full_outer").select("user", *pr.SIX_FEATURES).na.fill(0)
+    stats = users.agg(*[F.avg(c).alias(f"m_{c}") for c in pr.SIX_FEATURES], *[F.stddev(c).alias(f"s_{c}") for c in pr.SIX_FEATURES]).first()
+    scaled = users.select("user", *[((F.col(c) - stats[f"m_{c}"]) / stats[f"s_{c}"]).alias(c) for c in pr.SIX_FEATURES])
+    placed = pr.assign_peers(scaled, pr.SIX_FEATURES, found.centroids).select("user", F.col("peer_group").alias("placed"))
+    return found.groups.join(placed, "user").select("user", (F.col("peer_group") == F.col("placed")).alias("nearest"))
 
 
-@check("f4_cluster_metrics")
+@check("f4_cluster_metrics", "SELECT 5 AS k, TRUE AS summed_cost, TRUE AS few_iterations")
 def _(spark, sf):
-    base = sinks.materialise(_baseline(spark, sf), "baseline")
-    return pr.cluster_metrics(pr.peer_groups(base, SETTINGS), base)
+    base, found = _fitted(spark, sf)
+    far = pr.assign_peers(pr.normalised(base), NORMS, found.centroids)
+    cost = far.agg(F.sum(F.col("peer_distance") * F.col("peer_distance")).alias("c")).select("c").scalar()
+    return pr.cluster_metrics(found, base).select(
+        "k", (F.abs(F.col("cost") - cost) < 1e-6).alias("summed_cost"), F.col("iterations").between(1, 20).alias("few_iterations")
+    )
 
 
 @check("f5_assign_peers", 'SELECT "user", peer_group FROM peers')
@@ -1368,16 +1427,40 @@ def _standard_features(spark, sf):
 STD_FEATURES = [f"std_{c}" for c in schemas.MODEL_FEATURES]
 
 
-@check("f6_fit_iforest")
+@check(
+    "f6_fit_iforest",
+    "SELECT CAST(t AS INTEGER) AS tree, CAST(n AS INTEGER) AS sample, TRUE AS whole FROM range(100) r(t), (SELECT least(256, count(*)) AS n FROM feats) f",
+)
 def _(spark, sf):
-    return iforest.fit_iforest(_standard_features(spark, sf), STD_FEATURES, SETTINGS)
+    """Each tree has its sample, one root, two children per inner node, and leaves that hold the sample."""
+    nodes = iforest.fit_iforest(_standard_features(spark, sf), STD_FEATURES, SETTINGS)
+    leaf = F.col("feature") < 0
+    counted = nodes.groupBy(F.col("tree").cast("int").alias("tree")).agg(
+        F.max("sample").cast("int").alias("sample"), F.count(F.lit(1)).alias("n"), F.count_if(leaf).alias("leaves"),
+        F.count_distinct("node").alias("distinct"), F.max("node").alias("last"),
+        F.bool_and(leaf | ((F.col("left") > F.col("node")) & (F.col("right") > F.col("node")))).alias("down"),
+    )
+    whole = (F.col("n") == 2 * F.col("leaves") - 1) & (F.col("n") == F.col("distinct")) & (F.col("last") == F.col("n") - 1) & F.col("down")
+    return counted.select("tree", "sample", whole.alias("whole"))
 
 
-@check("f7_score_iforest")
+@check("f7_score_iforest", 'SELECT "user", TRUE AS walked FROM feats')
 def _(spark, sf):
-    standard = _standard_features(spark, sf)
-    nodes = iforest.fit_iforest(standard, STD_FEATURES, SETTINGS)
-    return iforest.score_iforest(standard, STD_FEATURES, nodes, SETTINGS).select("user", "anomaly_score")
+    """Each score against a walk down the table of nodes, one join per step."""
+    standard = sinks.materialise(_standard_features(spark, sf), "standard")
+    nodes = sinks.materialise(iforest.fit_iforest(standard, STD_FEATURES, SETTINGS), "forest")
+    scored = iforest.score_iforest(standard, STD_FEATURES, nodes, SETTINGS).select("user", "anomaly_score")
+    trees = nodes.select("tree", F.col("node").alias("at"), "feature", "threshold", "left", "right", "path")
+    each = F.explode(F.sequence(F.lit(0), F.lit(SETTINGS.trees - 1))).alias("tree")
+    where = standard.select("user", F.array(*STD_FEATURES).alias("x"), each).withColumn("at", F.lit(0))
+    for _ in range(8):
+        goes = F.when(F.element_at("x", F.col("feature") + 1) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        step = where.join(F.broadcast(trees), ["tree", "at"])
+        where = step.select("user", "x", "tree", F.when(F.col("feature") < 0, F.col("at")).otherwise(goes).cast("int").alias("at"))
+    ends = where.join(F.broadcast(trees), ["tree", "at"]).groupBy("user").agg(F.avg("path").alias("mean"))
+    n = nodes.agg(F.max("sample").cast("double").alias("n")).select("n").scalar()
+    usual = 2 * (F.ln(n - 1) + F.lit(0.5772156649015329)) - 2 * (n - 1) / n
+    return scored.join(ends, "user").select("user", (F.abs(F.col("anomaly_score") + F.pow(F.lit(2.0), -F.col("mean") / usual)) < 1e-9).alias("walked"))
 
 
 @check(
@@ -1422,9 +1505,22 @@ def _(spark, sf):
     )
 
 
-@check("f11_score_batch")
+# The model run is of the network alone.
+TRAINED = '(SELECT "user" FROM net_base WHERE "user" IN (SELECT "user" FROM net_sc)) t'
+
+
+@check("f11_score_batch", f'SELECT "user", TRUE AS flagged, TRUE AS scaled, TRUE AS level FROM {TRAINED}')
 def _(spark, sf):
-    return _train(spark, sf).scores
+    """Flag, risk and level of each user follow from the score, the threshold and the range of the model."""
+    trained = _train(spark, sf)
+    m, score = trained.model, F.col("anomaly_score")
+    risk = 1 - (score - m.score_min) / (m.score_max - m.score_min)
+    low = (score < m.threshold).cast("int") if m.threshold is not None else F.lit(0)
+    level = F.expr("CASE WHEN risk_score >= 0.85D THEN 'CRITICAL' WHEN risk_score >= 0.7D THEN 'HIGH' WHEN risk_score >= 0.5D THEN 'MEDIUM' ELSE 'LOW' END")
+    return trained.scores.select(
+        "user", (F.col("is_anomaly") == low).alias("flagged"), (F.abs(F.col("risk_score") - risk) < 1e-9).alias("scaled"),
+        (F.col("risk_level") == level).alias("level"),
+    )
 
 
 @check("f12_feature_table", FEATURE_SQL, FEATURE_DOUBLES)
@@ -1432,12 +1528,58 @@ def _(spark, sf):
     return _features(spark, sf)
 
 
-@check("f13_saved_model")
+def _same(mine: DataFrame, theirs: DataFrame) -> DataFrame:
+    """Per user, whether two results of the model are equal."""
+    cells = [c for c in mine.columns if c != "user"]
+    left = mine.select("user", F.struct(*cells).alias("_a"))
+    right = theirs.select("user", F.struct(*cells).alias("_b"))
+    return left.join(right, "user", "full_outer").select("user", F.coalesce(F.col("_a") == F.col("_b"), F.lit(False)).alias("same"))
+
+
+@check("f13_saved_model", f'SELECT "user", TRUE AS same FROM {TRAINED}')
 def _(spark, sf):
+    """The second of two published versions, read back, scores as the model that was saved."""
     trained = _train(spark, sf)
     path = _scratch(spark, "model")
-    model.save_model(trained.model, path)
-    return model.score_batch(trained.features, model.load_model(spark, path), SETTINGS)
+    model.save_model(replace(trained.model, score_min=-9.0), path, 1)
+    model.save_model(trained.model, path, 2)
+    return _same(model.score_batch(trained.features, model.load_model(spark, path), SETTINGS), trained.scores)
+
+
+@check("f13_placed_peers", f'SELECT "user", TRUE AS same FROM {TRAINED}')
+def _(spark, sf):
+    """A batch without peer groups gets those of the saved centroids, and scores as with them."""
+    trained = _train(spark, sf)
+    path = _scratch(spark, "model")
+    model.save_model(trained.model, path, 1)
+    return _same(model.score_batch(trained.features.drop("peer_group"), model.load_model(spark, path, 1), SETTINGS), trained.scores)
+
+
+@check(
+    "f14_run_ledger",
+    """
+    SELECT run_id, 'param' AS kind, 'peer_groups' AS name, '5' AS value FROM (VALUES ('run-1'), ('run-2')) r(run_id)
+    UNION ALL
+    SELECT run_id, 'metric', name, CAST(value AS VARCHAR) FROM (VALUES ('run-1'), ('run-2')) r(run_id), (
+      SELECT unnest(['total_anomalies', 'critical_anomalies', 'high_anomalies']) AS name,
+             unnest([count(*) FILTER (WHERE network_anomaly_score >= 0.5::DOUBLE),
+                     count(*) FILTER (WHERE network_anomaly_score >= 0.85::DOUBLE),
+                     count(*) FILTER (WHERE network_anomaly_score >= 0.7::DOUBLE AND network_anomaly_score < 0.85::DOUBLE)]) AS value
+      FROM net_sc) m
+    """,
+)
+def _(spark, sf):
+    """Metrics observed while the scored days are written; a repeated run replaces its rows."""
+    path, counted = _scratch(spark, "ledger"), Observation()
+    score = F.col("network_anomaly_score")
+    seen = _scored(spark, sf).observe(
+        counted, F.count_if(score >= 0.5).alias("total_anomalies"), F.count_if(score >= 0.85).alias("critical_anomalies"),
+        F.count_if((score >= 0.7) & (score < 0.85)).alias("high_anomalies"),
+    )
+    sinks.materialise(seen, "observed")
+    for run in ("run-1", "run-2", "run-1"):
+        model.append_ledger(spark, path, run, {"peer_groups": SETTINGS.peer_groups}, counted.get)
+    return model.read_ledger(spark, path)
 
 
 @check(
@@ -1480,6 +1622,26 @@ def _(spark, sf):
     return model.evaluate(_scored(spark, sf), labels, settings=SETTINGS)
 
 
+@check(
+    "f15_curve",
+    """
+    WITH x AS (SELECT network_anomaly_score AS threshold, coalesce(l.n, 0) > 0 AS r
+               FROM net_sc s LEFT JOIN (SELECT "user", date, count(*) FILTER (WHERE is_anomaly) AS n FROM net_both
+                                        WHERE period = 'analysis' GROUP BY 1, 2) l
+                 ON l."user" = s."user" AND l.date = s.date),
+    c AS (SELECT threshold, count(*) AS n, count(*) FILTER (WHERE r) AS h FROM x GROUP BY 1),
+    t AS (SELECT threshold, CAST(sum(n) OVER w AS BIGINT) AS flagged, CAST(sum(h) OVER w AS BIGINT) AS tp, (SELECT sum(h) FROM c) AS a
+          FROM c WINDOW w AS (ORDER BY threshold DESC))
+    SELECT threshold, flagged, tp, flagged - tp AS fp, CAST(a - tp AS BIGINT) AS fn, tp::DOUBLE / flagged AS precision,
+           CASE WHEN a > 0 THEN tp::DOUBLE / a END AS recall FROM t
+    """,
+    "threshold precision recall",
+)
+def _(spark, sf):
+    labels = features.labelled_counts(bd.in_analysis(network(spark, sf), _bounds(spark, sf), SETTINGS))
+    return model.threshold_curve(_scored(spark, sf), labels, settings=SETTINGS)
+
+
 # --- G: findings -------------------------------------------------------------------------
 
 CONTEXT_SQL = """
@@ -1880,7 +2042,7 @@ def _event_stream(spark, sf) -> DataFrame:
     return read_event_stream(spark, path, events.schema)
 
 
-@check("m1_score_stream")
+@check("m1_score_stream", f'SELECT "user", TRUE AS same FROM {TRAINED}')
 def _(spark, sf):
     trained = _train(spark, sf)
     inputs, out, state = (_scratch(spark, x) for x in ("rows-in", "rows-out", "rows-state"))
@@ -1894,7 +2056,7 @@ def _(spark, sf):
         .start(out)
     )
     query.awaitTermination()
-    return spark.read.schema(schemas.MODEL_OUTPUT).parquet(out)
+    return _same(spark.read.schema(schemas.MODEL_OUTPUT).parquet(out), trained.scores)
 
 
 STREAM_SQL = """

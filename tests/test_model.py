@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import math
 
 import numpy as np
@@ -87,15 +89,30 @@ def test_refuses_a_table_that_is_no_forest(spark):
         iforest.load_trees(nodes, SMALL.with_(trees=1, tree_sample=8))
 
 
-@pytest.mark.parametrize("share", [0.0, 0.01, 0.08, 0.1, 0.5, 0.999, 1.0])
-def test_exact_quantile(spark, monkeypatch, share):
+@pytest.mark.parametrize("share", [0.0, 0.01, 0.08, 0.5, 1.0])
+def test_exact_quantile(spark, share):
     values = np.concatenate([np.random.default_rng(3).normal(size=5000), np.full(2500, -0.25)])
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    expected = float(np.quantile(values, share))
-    assert model.exact_quantile(df, "v", share) == pytest.approx(expected, abs=1e-12)
-    # With a small bracket the narrowing steps run, also over the many equal values.
-    monkeypatch.setattr(model, "BRACKET_ROWS", 50)
-    assert model.exact_quantile(df, "v", share) == pytest.approx(expected, abs=1e-12)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
+    assert model.exact_quantile(df, "v", share) == pytest.approx(float(np.quantile(values, share)), abs=1e-12)
+
+
+def test_order_statistics_of_equal_and_near_equal_values(spark):
+    """Two million values, most of them equal, the others the next doubles to them: nothing to narrow by width."""
+    at = F.col("id") % 1000
+    up = [0.1]
+    for _ in range(5):
+        up.append(float(np.nextafter(up[-1], 1)))
+    value = F.when(at < 990, F.lit(0.1)).otherwise(F.element_at(F.array(*map(F.lit, up)), (at % 5 + 2).cast("int")))
+    values = spark.range(2_000_000).select(value.alias("v"))
+    assert model.order_statistic(values, 0) == model.order_statistic(values, 1_979_999) == 0.1
+    assert [model.order_statistic(values, 1_980_000 + 4000 * i) for i in range(5)] == up[1:]
+    assert model.exact_quantile(values, "v", 0.05) == 0.1
+
+
+def test_order_statistics_of_every_kind_of_double(spark):
+    values = [-np.inf, -1e308, -2.5, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 2.5, 1e308, np.inf, np.nan]
+    df = spark.createDataFrame([(float(v),) for v in reversed(values)], "v double")
+    assert [repr(model.order_statistic(df, i) + 0.0) for i in range(len(values))] == [repr(v + 0.0) for v in values]
 
 
 def test_quantile_of_nothing(spark):
@@ -183,3 +200,39 @@ def test_kmeans_separates_clear_groups(spark):
     assert {r["user"]: r["peer_group"] for r in again.collect()} == groups
     metrics = pr.cluster_metrics(fitted, base).first()
     assert metrics["k"] == 2 and metrics["cost"] == pytest.approx(0.0)
+
+
+def test_users_are_placed_over_the_dimensions_they_have(spark):
+    from veerline.operators.peers import PeerModel, peer_table, peers_from_table, place_users
+
+    ranges = {"min_a": 0.0, "max_a": 10.0, "min_b": 0.0, "max_b": 100.0, "min_c": 1.0, "max_c": 1.0}
+    found = PeerModel(None, [[0.0, 1.0, 0.0], [1.0, 0.0, 0.0], [0.4, 0.4, 0.0]], 3, 0.5, ("a", "b", "c"), ranges)
+    rows = [("x", 9.0, 5.0, 1.0), ("y", None, 95.0, None), ("z", 1.0, None, None), ("none", None, None, None), ("tie", 5.0, 50.0, 1.0)]
+    users = spark.createDataFrame(rows, "user string, a double, b double, c double")
+    for peers in (found, peers_from_table(peer_table(found, spark))):
+        placed = {r["user"]: r["peer_group"] for r in place_users(users, peers).collect()}
+        assert placed == {"x": 1, "y": 0, "z": 0, "none": None, "tie": 2}
+    assert {r["peer_group"] for r in place_users(users.select("user"), found).collect()} == {None}
+
+
+def test_versions_of_a_model_stay_readable(spark, tmp_path):
+    features = feature_rows(spark)
+    trained = model.train_model(features, SMALL)
+    path = str(tmp_path / "versions")
+    for version, low in ((1, -5.0), (2, -6.0)):
+        model.save_model(replace(trained, score_min=low), path, version)
+    assert model.load_model(spark, path).score_min == -6.0
+    assert model.load_model(spark, path, 1).score_min == -5.0
+    # A version without a line in the manifest, as a run that broke off leaves it, is not seen.
+    trained.nodes.write.parquet(f"{path}/versions/3/nodes")
+    assert model.load_model(spark, path).score_min == -6.0
+
+
+def test_curve_and_best_threshold(spark):
+    scored = spark.createDataFrame([(f"u{i}", "2024-01-01", x) for i, x in enumerate([0.9, 0.8, 0.8, 0.4, 0.1])], "user string, date string, s double")
+    labels = spark.createDataFrame([("u0", "2024-01-01", 2), ("u1", "2024-01-01", 1), ("u3", "2024-01-01", 0), ("u4", "2024-01-01", 1)], "user string, date string, known_anomalies long")
+    curve = model.threshold_curve(scored, labels, "s")
+    rows = [(r["threshold"], r["flagged"], r["tp"], r["fp"], r["fn"]) for r in curve.orderBy(F.desc("threshold")).collect()]
+    assert rows == [(0.9, 1, 1, 0, 2), (0.8, 3, 2, 1, 1), (0.4, 4, 2, 2, 1), (0.1, 5, 3, 2, 0)]
+    assert model.best_threshold(curve).first()["threshold"] == 0.1
+    assert model.best_threshold(curve, 0.2).first()["threshold"] == 0.9

@@ -32,6 +32,8 @@ from .findings import (
 from .iforest import fit_iforest, score_iforest
 from .model import (
     RiskModel,
+    append_ledger,
+    best_threshold,
     contamination,
     ensure_features,
     ensure_ids,
@@ -41,9 +43,12 @@ from .model import (
     load_model,
     ml_features,
     model_risk,
+    order_statistic,
+    read_ledger,
     run_metrics,
     save_model,
     score_batch,
+    threshold_curve,
     train_model,
 )
 from .peers import (
@@ -57,6 +62,7 @@ from .peers import (
     peer_groups,
     peer_groups_standardized,
     peer_profile,
+    place_users,
     standardize,
 )
 from .reports import (

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
@@ -27,6 +27,9 @@ class PeerModel:
     centroids: list[list[float]]
     iterations: int
     cost: float
+    # The features the centroids are made of, and the ranges that scale them.
+    columns: tuple[str, ...] = ()
+    ranges: dict[str, float] = field(default_factory=dict)
 
     @property
     def k(self) -> int:
@@ -102,8 +105,10 @@ def peer_groups(
     baseline: DataFrame, settings: Settings = DEFAULT, columns: Sequence[str] = TWO_FEATURES
 ) -> PeerModel:
     """K-means on min-max features; pass a stored baseline, as the fit reads it many times."""
-    features = assemble(normalised(baseline, columns), [f"norm_{c}" for c in columns])
-    return _fit(features, settings)
+    filled = baseline.select("user", *columns).na.fill(0)
+    ranges = feature_ranges(filled, columns).first().asDict()
+    features = assemble(minmax(filled, columns, ranges), [f"norm_{c}" for c in columns])
+    return replace(_fit(features, settings), columns=tuple(columns), ranges=ranges)
 
 
 def peer_groups_standardized(
@@ -158,6 +163,55 @@ def assign_peers(df: DataFrame, columns: Sequence[str], centroids: Sequence[Sequ
     )
 
 
+def place_users(users: DataFrame, model: PeerModel) -> DataFrame:
+    """Adds ``peer_group`` of the nearest centroid, over those dimensions that a user has.
+
+    A NULL feature, or a column that is absent, is left out of the distance, which is the mean over the others; a
+    user without any has no group. The lower group wins ties. The centroids are constants, so there is no join.
+    """
+    present = set(users.columns)
+
+    def scaled(name: str) -> Column:
+        if name not in present:
+            return F.lit(None).cast("double")
+        low, high = model.ranges[f"min_{name}"], model.ranges[f"max_{name}"]
+        if low is None or not high - low > 0:
+            return F.when(F.col(name).isNotNull(), F.lit(0.0))
+        return (F.col(name) - F.lit(low)) / F.lit(high - low)
+
+    point = F.array(*[scaled(c) for c in model.columns])
+
+    def distance(centre: Column) -> Column:
+        squares = F.filter(F.zip_with(point, centre, lambda a, b: (a - b) * (a - b)), lambda x: x.isNotNull())
+        return F.aggregate(squares, F.lit(0.0), lambda total, x: total + x) / F.nullif(F.size(squares), F.lit(0))
+
+    each = F.transform(
+        _centroid_array(model.centroids), lambda c: F.struct(distance(c["centre"]).alias("far"), c["peer_group"].alias("peer_group"))
+    )
+    nearest = F.array_min(F.filter(each, lambda x: x["far"].isNotNull()))
+    return users.withColumn("peer_group", nearest["peer_group"])
+
+
+def peer_table(model: PeerModel, spark: SparkSession) -> DataFrame:
+    """The centroids and ranges as rows: one per group and feature."""
+    rows = [
+        (g, i, name, float(centre[i]), model.ranges[f"min_{name}"], model.ranges[f"max_{name}"])
+        for g, centre in enumerate(model.centroids)
+        for i, name in enumerate(model.columns)
+    ]
+    return spark.createDataFrame(rows, "peer_group int, place int, name string, centre double, low double, high double")
+
+
+def peers_from_table(table: DataFrame) -> PeerModel:
+    """The model of a stored ``peer_table``: a few dozen rows. The groups of the training users are not part of it."""
+    rows = sorted(table.collect(), key=lambda r: (r["peer_group"], r["place"]))
+    first = [r for r in rows if r["peer_group"] == 0]
+    ranges = {f"{end}_{r['name']}": r[key] for r in first for end, key in (("min", "low"), ("max", "high"))}
+    centroids = [[r["centre"] for r in rows if r["peer_group"] == g] for g in range(rows[-1]["peer_group"] + 1)]
+    groups = table.select(F.lit(None).cast("string").alias("user"), "peer_group").limit(0)
+    return PeerModel(groups, centroids, 0, 0.0, tuple(r["name"] for r in first), ranges)
+
+
 def peer_profile(peers: DataFrame, baseline: DataFrame) -> DataFrame:
     """Size and mean baseline of each peer group."""
     return (

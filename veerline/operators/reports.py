@@ -74,9 +74,17 @@ def row_and_user_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("user").alias("users"))
 
 
-def rates(risk: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """One row: share of users at high risk."""
-    return risk.agg(F.avg((F.col("combined_risk_score") >= settings.high).cast("int")).alias("high_risk_rate"))
+def rates(risk: DataFrame, settings: Settings = DEFAULT, scores: DataFrame | None = None) -> DataFrame:
+    """One row: share of users at high risk, and with the model's ``scores`` how many users it flags, and their share."""
+    high = risk.agg(F.avg((F.col("combined_risk_score") >= settings.high).cast("int")).alias("high_risk_rate"))
+    if scores is None:
+        return high
+    flagged = scores.agg(
+        F.coalesce(F.sum("is_anomaly"), F.lit(0)).alias("model_anomalies"), F.avg("is_anomaly").alias("model_anomaly_rate")
+    )
+    # Two tables of one row each.
+    row = flagged.select(F.struct("model_anomalies", "model_anomaly_rate").alias("m")).scalar()
+    return high.select("high_risk_rate", row["model_anomalies"].alias("model_anomalies"), row["model_anomaly_rate"].alias("model_anomaly_rate"))
 
 
 def _section(df: DataFrame, section: str, item: str, value: str) -> DataFrame:

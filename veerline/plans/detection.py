@@ -11,13 +11,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
 from ..operators import features
 from ..operators.baseline import user_baseline_network, user_baseline_process
 from ..operators.bounds import Bounds, resolve_bounds
 from ..operators.findings import all_findings, network_findings, process_findings
-from ..operators.peers import peer_groups
+from ..operators.peers import PeerModel, peer_groups, place_users
 from ..operators.risk import user_risk
 from ..operators.scores import (
     attach_baseline,
@@ -39,19 +40,35 @@ class Detection:
     scored_process: DataFrame | None
     risk: DataFrame
     findings: DataFrame
+    peer_model: PeerModel | None = None
+
+
+#: What stands in for a baseline feature while a user has only analysis days.
+STAND_INS = {
+    "baseline_avg_events": "daily_events", "baseline_avg_bytes_out": "daily_bytes_out",
+    "baseline_avg_destinations": "unique_destinations", "baseline_avg_active_hours": "active_hours",
+}
+
+
+def new_users(days: DataFrame, baseline: DataFrame, model: PeerModel) -> DataFrame:
+    """Peer groups of the users that have analysis days but no baseline: the nearest centroid of their daily means."""
+    means = [F.avg(day).alias(name) for name, day in STAND_INS.items() if name in model.columns and day in days.columns]
+    seen = days.groupBy("user").agg(*means, F.count(F.lit(1)).alias("_days"))
+    return place_users(seen.join(baseline.select("user"), "user", "left_anti"), model).select("user", "peer_group")
 
 
 def scored_network_days(
     events: DataFrame,
     bounds: Bounds,
     settings: Settings = DEFAULT,
-    peers: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    peers: DataFrame | PeerModel | Callable[[DataFrame], DataFrame | PeerModel] | None = None,
     store: bool = False,
     approx: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Network baseline, scored user-days and peer groups.
 
-    ``peers`` are given groups, or a function of the baseline.
+    ``peers`` are given groups, or a function of the baseline that returns groups or a ``PeerModel``. With a model and
+    ``settings.peer_fallback``, users without a baseline are placed by the means of their analysis days.
     """
     # Only what scores and baselines use: every further distinct count is a further copy of
     # each event in the aggregation.
@@ -64,6 +81,12 @@ def scored_network_days(
     if callable(peers):
         peers = peers(baseline)
     days = features.of_period(daily, "analysis")
+    if isinstance(peers, PeerModel):
+        model, peers = peers, peers.groups
+        if settings.peer_fallback:
+            peers = peers.unionByName(new_users(days, baseline, model))
+            if store:
+                peers = materialise(peers, "peers")
     if settings.peer_fallback and peers is not None:
         days = with_peer_fallback(days, baseline, peers, settings)
     else:
@@ -88,18 +111,25 @@ def detect(
     network: DataFrame,
     process: DataFrame | None = None,
     settings: Settings = DEFAULT,
-    peers: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+    peers: DataFrame | PeerModel | Callable[[DataFrame], DataFrame | PeerModel] | None = None,
     approx: bool = False,
 ) -> Detection:
     """Run the whole analysis; without ``peers`` they are found by K-means."""
     bounds = resolve_bounds(network, settings)
-    groups = peers if peers is not None else (lambda baseline: peer_groups(baseline, settings).groups)
+    model: list[PeerModel] = []
+
+    def found(baseline: DataFrame) -> DataFrame | PeerModel:
+        made = peers(baseline) if callable(peers) else peer_groups(baseline, settings)
+        model.extend([made] if isinstance(made, PeerModel) else [])
+        return made
+
+    groups = found if peers is None or callable(peers) else peers
     baseline, scored, groups = scored_network_days(network, bounds, settings, groups, True, approx)
     process_baseline = scored_process = None
     if process is not None:
         process_baseline, scored_process = scored_process_days(process, bounds, settings, True, approx)
     risk = user_risk(scored, scored_process, groups, settings)
-    found = network_findings(scored, risk, bounds, settings)
+    findings = network_findings(scored, risk, bounds, settings)
     if scored_process is not None:
-        found = all_findings(found, process_findings(scored_process, risk, bounds, settings))
-    return Detection(bounds, baseline, process_baseline, groups, scored, scored_process, risk, found)
+        findings = all_findings(findings, process_findings(scored_process, risk, bounds, settings))
+    return Detection(bounds, baseline, process_baseline, groups, scored, scored_process, risk, findings, model[0] if model else None)

@@ -15,7 +15,7 @@ from ..operators.findings import (
     STATISTICAL_VERSION,
     with_load_meta,
 )
-from ..operators.model import save_model
+from ..operators.model import append_ledger, save_model
 from ..operators.reports import analysis_summary
 from ..operators.risk import stamp
 from ..sinks.tables import Covered, append_to_table
@@ -44,12 +44,17 @@ def run_detection(spark: SparkSession, settings: Settings = DEFAULT) -> tuple[De
 
 
 def run_training(
-    spark: SparkSession, model_path: str, model_version: str, settings: Settings = DEFAULT
+    spark: SparkSession, model_path: str, model_version: str, settings: Settings = DEFAULT, ledger: str | None = None
 ) -> Training:
-    """Train and save the model, and append the findings of the run."""
+    """Train and save the model, and append the findings of the run; ``ledger`` gets its parameters and metrics."""
     network, _ = read_sources(spark, settings)
     trained = train(network, settings, model_version=model_version)
     save_model(trained.model, model_path)
+    if ledger:
+        params = {k: getattr(settings, k) for k in ("baseline_days", "analysis_days", "peer_groups", "trees", "tree_sample", "seed")}
+        peers = trained.detection.peer_model
+        more = {"kmeans_cost": peers.cost, "kmeans_iterations": peers.iterations} if peers is not None else {}
+        append_ledger(spark, ledger, model_version, params, {**trained.metrics, **more})
     covered = Covered(trained.detection.bounds, (NETWORK_MODEL_ANALYTIC,))
     append_to_table(with_load_meta(trained.findings, MODEL_VERSION), settings.source_tables()["findings"], covered)
     return trained
