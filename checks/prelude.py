@@ -176,6 +176,50 @@ WITH ev AS (
                  WHEN process_anomaly_score >= 0.7::DOUBLE THEN 'HIGH'
                  WHEN process_anomaly_score >= 0.5::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS process_anomaly_level
   FROM proc_sc0
+), net_group AS (
+  SELECT peer_group, date, count(*) AS n, avg(daily_events) AS me, var_samp(daily_events) AS ve,
+         avg(daily_bytes_out) AS mb, var_samp(daily_bytes_out) AS vb
+  FROM net_sc WHERE peer_group IS NOT NULL GROUP BY 1, 2
+), net_others AS (
+  SELECT s.*, n, ve, vb, (n * me - daily_events) / nullif(n - 1, 0) AS oe, (n * mb - daily_bytes_out) / nullif(n - 1, 0) AS ob, me, mb
+  FROM net_sc s LEFT JOIN net_group g ON g.peer_group = s.peer_group AND g.date = s.date
+), net_spread AS (
+  SELECT *, CASE WHEN n > 2 THEN greatest(ve * (n - 1) - (daily_events - me) * (daily_events - oe), 0) / (n - 2) END AS re,
+         CASE WHEN n > 2 THEN greatest(vb * (n - 1) - (daily_bytes_out - mb) * (daily_bytes_out - ob), 0) / (n - 2) END AS rb
+  FROM net_others
+), net_peer AS (
+  SELECT *, coalesce(CASE WHEN re > 1e-9 * greatest(ve, 1) THEN abs(daily_events - oe) / sqrt(re) END, 0) AS peer_z_events,
+         coalesce(CASE WHEN rb > 1e-9 * greatest(vb, 1) THEN abs(daily_bytes_out - ob) / sqrt(rb) END, 0) AS peer_z_bytes_out
+  FROM net_spread
+), net_kinds AS (
+  SELECT *, concat_ws(',',
+           CASE WHEN events_zscore > 2.5 OR bytes_out_zscore > 2.5 THEN 'volume' END,
+           CASE WHEN destinations_zscore > 2.5 OR hosts_zscore > 2.5 THEN 'diversity' END,
+           CASE WHEN after_hours_anomaly > 0 THEN 'temporal' END,
+           CASE WHEN greatest(peer_z_events, peer_z_bytes_out) > 2.5 THEN 'peer_deviation' END) AS anomaly_types
+  FROM net_peer
+), proc_grouped AS (
+  SELECT s.*, peer_group FROM proc_sc s LEFT JOIN peers USING ("user")
+), proc_group AS (
+  SELECT peer_group, date, count(*) AS n, avg(daily_processes) AS mp, var_samp(daily_processes) AS vp,
+         avg(unique_processes) AS mu, var_samp(unique_processes) AS vu
+  FROM proc_grouped WHERE peer_group IS NOT NULL GROUP BY 1, 2
+), proc_others AS (
+  SELECT s.*, n, vp, vu, mp, mu, (n * mp - daily_processes) / nullif(n - 1, 0) AS op, (n * mu - unique_processes) / nullif(n - 1, 0) AS ou
+  FROM proc_grouped s LEFT JOIN proc_group g ON g.peer_group = s.peer_group AND g.date = s.date
+), proc_spread AS (
+  SELECT *, CASE WHEN n > 2 THEN greatest(vp * (n - 1) - (daily_processes - mp) * (daily_processes - op), 0) / (n - 2) END AS rp,
+         CASE WHEN n > 2 THEN greatest(vu * (n - 1) - (unique_processes - mu) * (unique_processes - ou), 0) / (n - 2) END AS ru
+  FROM proc_others
+), proc_kinds AS (
+  SELECT *, concat_ws(',',
+           CASE WHEN processes_zscore > 2.5 THEN 'volume' END,
+           CASE WHEN unique_processes_zscore > 2.5 THEN 'diversity' END,
+           CASE WHEN coalesce(CASE WHEN rp > 1e-9 * greatest(vp, 1) THEN abs(daily_processes - op) / sqrt(rp) END, 0) > 2.5
+                  OR coalesce(CASE WHEN ru > 1e-9 * greatest(vu, 1) THEN abs(unique_processes - ou) / sqrt(ru) END, 0) > 2.5
+                THEN 'peer_deviation' END,
+           CASE WHEN suspicious_process_count > 0 THEN 'suspicious_resource' END) AS anomaly_types
+  FROM proc_spread
 ), net_risk AS (
   SELECT "user", max(network_anomaly_score) AS max_network_risk,
          count(*) FILTER (WHERE network_anomaly_score >= 0.5::DOUBLE) AS medium_high_network_days,
@@ -220,8 +264,8 @@ WITH ev AS (
                    ELSE 'Monitor ongoing activity' END AS recommended_actions,
          daily_events, coalesce(baseline_avg_events, 0) AS baseline_avg_events, events_zscore,
          coalesce(daily_bytes_out, 0) AS daily_bytes_out, bytes_out_zscore, unique_destinations,
-         after_hours_anomaly > 0 AS after_hours
-  FROM net_sc s JOIN risk r ON s."user" = r."user" WHERE network_anomaly_score >= 0.5::DOUBLE
+         after_hours_anomaly > 0 AS after_hours, anomaly_types
+  FROM net_kinds s JOIN risk r ON s."user" = r."user" WHERE network_anomaly_score >= 0.5::DOUBLE
 ), proc_find AS (
   SELECT sha256('process_anomaly|' || s."user" || '|' || CAST(date AS VARCHAR)) AS finding_id,
          CAST(date AS TIMESTAMP) AS event_time, s."user", 'process_anomaly' AS finding_type,
@@ -234,8 +278,8 @@ WITH ev AS (
          'Review process execution logs,Verify process hashes against threat intelligence,'
            || 'Check for privilege escalation attempts' AS recommended_actions,
          daily_processes, coalesce(baseline_avg_processes, 0) AS baseline_avg_processes,
-         suspicious_process_count
-  FROM proc_sc s JOIN risk r ON s."user" = r."user" WHERE process_anomaly_score >= 0.5::DOUBLE
+         suspicious_process_count, anomaly_types
+  FROM proc_kinds s JOIN risk r ON s."user" = r."user" WHERE process_anomaly_score >= 0.5::DOUBLE
 ), find AS (
   SELECT finding_id, event_time, "user", finding_type, severity, title, description, risk_score, risk_level,
          analytic_name, analytic_type, peer_group, recommended_actions FROM net_find

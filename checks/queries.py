@@ -42,6 +42,7 @@ from veerline.plans import (
     stored_days,
     train,
 )
+from veerline.plans.detection import network_kinds, process_kinds
 from veerline.streaming import (
     ROCKSDB,
     alert_stream,
@@ -907,6 +908,22 @@ def _feed(spark, sf):
     )
 
 
+@check(
+    "d9_threat_any",
+    """SELECT event_id, threat_kinds <> '' AS threat_match, threat_kinds FROM (
+         SELECT event_id, concat_ws(',', CASE WHEN dest_host = 'signup.example' THEN 'domain' END,
+                                    CASE WHEN dest_ip IN (SELECT dest_ip FROM feed) OR src_ip = '10.0.0.6' THEN 'ip' END) AS threat_kinds
+         FROM net) t""",
+)
+def _(spark, sf):
+    """Addresses and domains of one feed, over two address columns and the host."""
+    listed = _feed(spark, sf).select(F.lit("ip").alias("kind"), F.col("dest_ip").alias("value"))
+    more = spark.createDataFrame([("ip", "10.0.0.6"), ("domain", "SIGNUP.example"), ("ip", None)], "kind string, value string")
+    keys = {"ip": ("dest_ip", "src_ip"), "domain": ("dest_host",)}
+    found = enrich.enrich_threat_any(network(spark, sf), listed.unionByName(more), keys, settings=SETTINGS)
+    return found.select("event_id", "threat_match", "threat_kinds")
+
+
 @check("d9_enrich_threat_intel", FEED_SQL)
 def _(spark, sf):
     return enrich.enrich_threat_intel(network(spark, sf), _feed(spark, sf), "dest_ip", settings=SETTINGS).select(
@@ -1324,18 +1341,31 @@ def _(spark, sf):
     return enrich.data_gaps(network(spark, sf), _bounds(spark, sf), SETTINGS)
 
 
+@check(
+    "e14_daily_peer_deviation",
+    """SELECT "user", date, peer_group, peer_z_events, peer_z_bytes_out, greatest(peer_z_events, peer_z_bytes_out) AS peer_zscore
+       FROM net_peer""",
+    "peer_z_events peer_z_bytes_out peer_zscore", "date",
+)
+def _(spark, sf):
+    found = scores.with_peer_deviation(_scored(spark, sf), settings=SETTINGS)
+    return found.select("user", "date", "peer_group", "peer_z_events", "peer_z_bytes_out", "peer_zscore")
+
+
 @check(
     "e20_anomaly_types",
-    """
-    SELECT "user", date, concat_ws(',',
-      CASE WHEN events_zscore > 2.5 OR bytes_out_zscore > 2.5 THEN 'volume' END,
-      CASE WHEN destinations_zscore > 2.5 OR hosts_zscore > 2.5 THEN 'diversity' END,
-      CASE WHEN after_hours_anomaly > 0 THEN 'temporal' END) AS anomaly_types FROM net_sc
-    """,
+    """SELECT 'network' AS feed, "user", date, anomaly_types FROM net_kinds
+       UNION ALL SELECT 'process', "user", date, anomaly_types FROM proc_kinds""",
     dates="date",
 )
 def _(spark, sf):
-    return scores.anomaly_types(_scored(spark, sf), SETTINGS).select("user", "date", "anomaly_types")
+    """All five kinds, over the days of both feeds."""
+    found = _detect(spark, sf)
+    days = [
+        network_kinds(found.scored_network, SETTINGS).select(F.lit("network").alias("feed"), "user", "date", "anomaly_types"),
+        process_kinds(found.scored_process, found.peers, SETTINGS).select(F.lit("process").alias("feed"), "user", "date", "anomaly_types"),
+    ]
+    return days[0].unionByName(days[1])
 
 
 @check(
@@ -1666,7 +1696,7 @@ def _open_context(df: DataFrame) -> DataFrame:
 )
 def _(spark, sf):
     d = _detect(spark, sf)
-    return _open_context(fd.network_findings(d.scored_network, d.risk, d.bounds, SETTINGS))
+    return _open_context(fd.network_findings(network_kinds(d.scored_network, SETTINGS), d.risk, d.bounds, SETTINGS))
 
 
 @check(
@@ -1675,7 +1705,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     d = _detect(spark, sf)
-    return _open_context(fd.process_findings(d.scored_process, d.risk, d.bounds, SETTINGS))
+    kinds = process_kinds(d.scored_process, d.peers, SETTINGS)
+    return _open_context(fd.process_findings(kinds, d.risk, d.bounds, SETTINGS))
 
 
 MODEL_FINDINGS_SQL = """
@@ -1691,7 +1722,7 @@ MODEL_FINDINGS_SQL = """
 def _model_findings(spark, sf, limit):
     d = _detect(spark, sf)
     found = fd.network_findings(d.scored_network, d.risk, d.bounds, SETTINGS, limit, "run-1")
-    return found.drop("peer_group", "network_evidence", "context")
+    return found.drop("peer_group", "network_evidence", "context", "anomaly_types")
 
 
 @check(

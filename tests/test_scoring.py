@@ -253,3 +253,41 @@ def test_sketches_change_scores_little(spark):
         assert row["daily_events"] == exact[(row["user"], row["date"])]["daily_events"]
         score = exact[(row["user"], row["date"])]["network_anomaly_score"]
         assert row["network_anomaly_score"] == pytest.approx(score, abs=0.1)
+
+
+def test_the_own_day_does_not_raise_the_yardstick(spark):
+    import numpy as np
+
+    from veerline.operators.scores import with_peer_deviation
+
+    day = {0: [5, 7, 6, 60], 1: [3, 3, 3], 2: [4, 9]}
+    rows = [(f"g{g}-{i}", "2024-03-01", g, x, None if i == 0 else x * 10) for g, xs in day.items() for i, x in enumerate(xs)]
+    rows.append(("none", "2024-03-01", None, 9, 9))
+    scored = spark.createDataFrame(rows, "user string, date string, peer_group int, daily_events long, daily_bytes_out long")
+    found = {r["user"]: r for r in with_peer_deviation(scored).collect()}
+    for i, x in enumerate(day[0]):
+        others = [v for j, v in enumerate(day[0]) if j != i]
+        assert found[f"g0-{i}"]["peer_z_events"] == pytest.approx(abs(x - np.mean(others)) / np.std(others, ddof=1))
+    assert found["g0-3"]["peer_zscore"] > 50
+    # No spread, fewer than two others, no group, no value.
+    assert {found[u]["peer_zscore"] for u in ("g1-0", "g2-0", "g2-1", "none")} == {0.0}
+    assert found["g0-0"]["peer_z_bytes_out"] == 0.0
+
+
+def test_one_feed_of_addresses_domains_and_hashes(spark):
+    from veerline.operators.enrich import enrich_threat_any
+
+    rows = [
+        (1, "1.1.1.1", "A.B.Evil.example", None), (2, None, "evil.example.", "FF"), (3, "2.2.2.2", "notevil.example", "aa"),
+        (4, None, None, None), (5, "1.1.1.1", "example", "ff"),
+    ]
+    events = spark.createDataFrame(rows, "event_id long, dest_ip string, dest_host string, sha256_hash string")
+    feed = spark.createDataFrame(
+        [("ip", "1.1.1.1"), ("ip", "1.1.1.1"), ("domain", "EVIL.example"), ("hash", "ff"), ("hash", None), ("ip", "aa")], "kind string, value string"
+    )
+    keys = {"ip": ("dest_ip",), "domain": ("dest_host",), "hash": ("sha256_hash",)}
+    for rows_ in (200_000, 1):
+        found = enrich_threat_any(events, feed, keys, settings=DEFAULT.with_(broadcast_rows=rows_)).collect()
+        assert {r["event_id"]: (r["threat_match"], r["threat_kinds"]) for r in found} == {
+            1: (True, ["domain", "ip"]), 2: (True, ["domain", "hash"]), 3: (False, []), 4: (False, []), 5: (True, ["hash", "ip"]),
+        }

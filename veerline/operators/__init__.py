@@ -106,6 +106,7 @@ from .scores import (
     top_days_per_user,
     top_network,
     top_process,
+    with_peer_deviation,
     with_peer_fallback,
 )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Settings
@@ -34,6 +34,49 @@ def threat_hits(
     return events.join(broadcast_if_small(entries, settings), key, "left_semi")
 
 
+def domain_with_parents(domain: Column) -> Column:
+    """A domain and the domains above it, but for the last part alone: ``a.b.example`` gives itself and ``b.example``."""
+    parts = F.split(F.lower(F.rtrim(domain, F.lit("."))), r"\.")
+    ends = F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1)))
+    return F.transform(ends, lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+
+
+def _named(kind: str, values: Column) -> Column:
+    return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
+def enrich_threat_any(
+    events: DataFrame,
+    feed: DataFrame,
+    keys: dict[str, tuple[str, ...]],
+    event_key: str = "event_id",
+    settings: Settings = DEFAULT,
+) -> DataFrame:
+    """Events with ``threat_match`` and ``threat_kinds``, from one feed of addresses, domains and hashes.
+
+    ``feed`` has ``kind`` and ``value``; ``keys`` names the event columns of each kind (``ip``, ``domain``, ``hash``).
+    All columns are looked up in one join: each event gives a row per indicator, a domain also its parents. NULL
+    indicators give none, so they are never moved; with a feed that is not small, Spark filters the rows by a Bloom
+    filter of it before they are shuffled. Only hits go on, and come back to the events by ``event_key``, which
+    identifies an event.
+    """
+    cells = []
+    for kind, columns in keys.items():
+        for name in columns:
+            values = domain_with_parents(F.col(name)) if kind == "domain" else F.array(F.lower(F.col(name).cast("string")))
+            cells.append(_named(kind, values))
+    found = F.filter(F.flatten(F.array_compact(F.array(*cells))), lambda x: x["value"].isNotNull())
+    looked = events.select(F.col(event_key).alias("_event"), F.explode(F.array_distinct(found)).alias("x")).select("_event", "x.*")
+    entries = feed.select("kind", F.lower("value").alias("value")).dropna().distinct()
+    hits = looked.join(broadcast_if_small(entries, settings), ["kind", "value"])
+    kinds = hits.groupBy("_event").agg(F.array_sort(F.collect_set("kind")).alias("threat_kinds"))
+    joined = events.join(kinds, events[event_key] == kinds["_event"], "left").drop("_event")
+    return joined.withColumns({
+        "threat_match": F.col("threat_kinds").isNotNull(),
+        "threat_kinds": F.coalesce("threat_kinds", F.array().cast("array<string>")),
+    })
+
+
 def suppress_allowlisted(
     findings: DataFrame, allow: DataFrame, keys: tuple[str, ...] = ("user",)
 ) -> DataFrame:

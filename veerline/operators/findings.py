@@ -68,7 +68,7 @@ def network_findings(
 ) -> DataFrame:
     """Network findings; with ``model_version`` those of a model run, whose texts are shorter.
 
-    ``limit`` keeps the highest scores. Ids of model findings carry the name of their analytic, so that both
+    The kinds of anomaly go along if the scored days have them. ``limit`` keeps the highest scores. Ids of model findings carry the name of their analytic, so that both
     kinds can be appended to one table.
     """
     rows = with_user_level(anomalous(scored, "network_anomaly_score", settings), risk)
@@ -112,6 +112,7 @@ def network_findings(
         evidence.alias("network_evidence"),
         F.struct(*_periods(bounds)).alias("context"),
     ]
+    columns += [F.col("anomaly_types")] if "anomaly_types" in rows.columns else []
     if model_version is not None:
         columns.append(F.lit(model_version).alias("model_version"))
     return rows.select(*columns)
@@ -144,6 +145,7 @@ def process_findings(
         process_actions().alias("recommended_actions"),
         evidence.alias("process_evidence"),
         F.struct(*_periods(bounds)).alias("context"),
+        *([F.col("anomaly_types")] if "anomaly_types" in rows.columns else []),
     )
 
 
@@ -158,7 +160,8 @@ def with_load_meta(findings: DataFrame, version: str = STATISTICAL_VERSION, at:
 
 
 def by_severity(findings: DataFrame, levels: tuple[str, ...]) -> DataFrame:
-    return findings.filter(F.col("severity").isin(*levels))
+    """Findings of these levels; rule findings write them in other letters, so case does not count."""
+    return findings.filter(F.upper("severity").isin(*[x.upper() for x in levels]))
 
 
 def ticket_queue(findings: DataFrame, group: str = "Security Operations") -> DataFrame:

@@ -105,6 +105,36 @@ def anomaly_types(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     return scored.withColumn("anomaly_types", F.array_compact(F.array(*found)))
 
 
+#: The daily metric behind each deviation from the peers of a day.
+PEER_METRICS = {"peer_z_events": "daily_events", "peer_z_bytes_out": "daily_bytes_out"}
+PEER_PROCESS_METRICS = {"peer_z_processes": "daily_processes", "peer_z_unique_processes": "unique_processes"}
+
+
+def with_peer_deviation(
+    scored: DataFrame, metrics: dict[str, str] = PEER_METRICS, settings: Settings = DEFAULT
+) -> DataFrame:
+    """Adds how far each user-day lies from the other members of its peer group on that day, and ``peer_zscore``.
+
+    Mean and deviation are those of the group without the own row, worked out from the group's moments: a loud user
+    does not raise the yardstick that it is measured by. Fewer than two others, no spread, no group or no value give 0.
+    Moments are one row per group and day; checked to be few, they are broadcast, and the user-days stay in place.
+    """
+    moments = scored.groupBy("peer_group", "date").agg(
+        *[f(m).alias(f"_{k}_{m}") for m in metrics.values() for k, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))]
+    ).filter(F.col("peer_group").isNotNull())
+    joined = scored.join(broadcast_if_small(moments, settings), ["peer_group", "date"], "left")
+    added = {}
+    for name, m in metrics.items():
+        x, n, mean, spread = F.col(m).cast("double"), F.col(f"_n_{m}"), F.col(f"_m_{m}"), F.col(f"_v_{m}")
+        others = (n * mean - x) / F.nullif(n - 1, F.lit(0))
+        rest = F.when(n > 2, F.greatest(spread * (n - 1) - (x - mean) * (x - others), F.lit(0.0)) / (n - 2))
+        # What rounding leaves of no spread at all is no spread.
+        std = F.when(rest > 1e-9 * F.greatest(spread, F.lit(1.0)), F.sqrt(rest))
+        added[name] = F.coalesce(F.abs(x - others) / std, F.lit(0.0))
+    highest = F.greatest(*[F.col(c) for c in added]) if len(added) > 1 else F.col(next(iter(added)))
+    return joined.withColumns(added).withColumn("peer_zscore", highest).select(*scored.columns, *added, "peer_zscore")
+
+
 def with_peer_fallback(
     daily: DataFrame, baseline: DataFrame, peers: DataFrame, settings: Settings = DEFAULT
 ) -> DataFrame:

@@ -21,10 +21,13 @@ from ..operators.findings import all_findings, network_findings, process_finding
 from ..operators.peers import PeerModel, peer_groups, place_users
 from ..operators.risk import user_risk
 from ..operators.scores import (
+    PEER_PROCESS_METRICS,
+    anomaly_types,
     attach_baseline,
     attach_peers,
     network_score,
     process_score,
+    with_peer_deviation,
     with_peer_fallback,
 )
 from ..sinks.storage import materialise
@@ -125,11 +128,27 @@ def detect(
 
     groups = found if peers is None or callable(peers) else peers
     baseline, scored, groups = scored_network_days(network, bounds, settings, groups, True, approx)
+    # Stored once: risk, findings and reports all read the scored days.
+    scored = materialise(scored, "scored-network")
     process_baseline = scored_process = None
     if process is not None:
         process_baseline, scored_process = scored_process_days(process, bounds, settings, True, approx)
-    risk = user_risk(scored, scored_process, groups, settings)
-    findings = network_findings(scored, risk, bounds, settings)
+        scored_process = materialise(scored_process, "scored-process")
+    risk = materialise(user_risk(scored, scored_process, groups, settings), "risk")
+    findings = network_findings(network_kinds(scored, settings), risk, bounds, settings)
     if scored_process is not None:
-        findings = all_findings(findings, process_findings(scored_process, risk, bounds, settings))
-    return Detection(bounds, baseline, process_baseline, groups, scored, scored_process, risk, findings, model[0] if model else None)
+        kinds = process_kinds(scored_process, groups, settings)
+        findings = all_findings(findings, process_findings(kinds, risk, bounds, settings))
+    return Detection(
+        bounds, baseline, process_baseline, groups, scored, scored_process, risk, findings, model[0] if model else None
+    )
+
+
+def network_kinds(scored: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """Scored days with the deviation from the day's peers and the kinds of anomaly that they show."""
+    return anomaly_types(with_peer_deviation(scored, settings=settings), settings)
+
+
+def process_kinds(scored: DataFrame, peers: DataFrame | None, settings: Settings = DEFAULT) -> DataFrame:
+    grouped = attach_peers(scored, peers) if peers is not None else scored.withColumn("peer_group", F.lit(None).cast("int"))
+    return anomaly_types(with_peer_deviation(grouped, PEER_PROCESS_METRICS, settings), settings).drop("peer_group")

@@ -65,7 +65,7 @@ def read_findings(
 ) -> DataFrame:
     """Review list of the stored findings, most risky first."""
     return (
-        findings.filter(F.col("severity").isin(*levels))
+        findings.filter(F.upper("severity").isin(*[x.upper() for x in levels]))
         .select("event_time", "user", "finding_type", "severity", "title", "risk_score", "description")
         .orderBy(F.desc("risk_score"), "user", "event_time", "finding_type")
     )
