@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from statistics import median
 
 import pyarrow as pa
 import regex
@@ -13,8 +12,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gam import labelled
-from .common import store
+from .common import broadcast_below, partitions, store
+from .gam import labelled, sampled
 
 #: Labelled rows that dictionaries and thresholds are learnt from (at most, by hash), and bounds of the dictionaries.
 FIT_ROWS, TOXIC_WINDOWS, ORDINARY_WINDOWS, DICT_BYTES = 8000, 400, 8000, 240_000
@@ -124,11 +123,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
 
     A window is a word. It is counted once per document and once per pair of neighbours, whichever is fewer,
     so that copies of a document do not make its words typical. Windows much more frequent in toxic documents
-    than by chance feed the toxic dictionary, the most frequent others the ordinary one.
+    than by chance feed the toxic dictionary, the most frequent others the ordinary one. Null labels do not count, a
+    null text is empty, repeated rows count each within the bound; without labels, or with labels of one kind, no
+    window is toxic and every text gets the calibrated rate.
     """
-    known = labelled(labels, label, key).orderBy(F.xxhash64("_key"), "_key").limit(FIT_ROWS)
+    known = store(sampled(labelled(labels, label, key), FIT_ROWS), "toxic-labels")
     named = docs.select(F.col(key).alias("_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
-    rows = store(named.join(known, F.col("_id") == F.col("_key")).select("_id", "_text", "_label").limit(FIT_ROWS), "toxic-fit")
+    held = store(named.join(broadcast_below(known), F.col("_id") == F.col("_key")).select("_id", "_text", "_label", "_key"), "toxic-texts")
+    rows = store(sampled(held, FIT_ROWS).drop("_key").repartition(partitions(docs.sparkSession)), "toxic-fit")
     words = rows.select("_id", "_label", F.regexp_extract_all("_text", F.lit(rf"({WORD})"), 1).alias("w"))
     windows = words.select(
         "_id", "_label",
@@ -147,7 +149,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     model = Model(_dictionary([r.w for r in picked]), _dictionary([r.w for r in others]), {})
     if picked:
         plain = Gains(model)
-        model.full = median(plain.window(r.w)[0] for r in picked)
+        # Every window that the dictionary is made of has to match by it.
+        model.full = max(plain.window(r.w)[0] for r in picked)
     seen = gains(rows.select(F.struct("_id", "_label").alias("_at"), "_text"), model, "_at", "_text")
     tally = seen.groupBy("level").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("key._label") == 1).cast("long")).alias("hit"))
     model.rates = calibrate([tuple(r) for r in tally.collect()])
