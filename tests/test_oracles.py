@@ -31,7 +31,7 @@ def duck():
 
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 # These score rows in Python, batch by batch; all other queries stay in the JVM.
-PYTHON = {"f6_fit_iforest", "f7_score_iforest", "f11_score_batch", "f13_saved_model"}
+PYTHON = {"f6_fit_iforest", "f7_score_iforest", "f11_score_batch", "f13_placed_peers", "f13_saved_model", "m1_score_stream"}
 
 
 def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
