@@ -100,16 +100,14 @@ def process(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def network_with_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Network events with source and destination countries from ``nation``."""
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        (F.col("user_id") % 25).cast("int").alias("src_key"),
-        (F.get_json_object("props", "$.k").cast("int") % 25).alias("dest_key"),
-    )
+    events = network(spark, sf_dir).withColumns({
+        "src_key": F.regexp_extract("user", r"(\d+)$", 1).cast("int") % 25,
+        "dest_key": F.substring_index("dest_ip", ".", -1).cast("int") % 25,
+    })
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     source = nation.select(F.col("n_nationkey").alias("src_key"), F.col("n_name").alias("src_country"))
     dest = nation.select(F.col("n_nationkey").alias("dest_key"), F.col("n_name").alias("dest_country"))
-    countries = events.join(source, "src_key").join(dest, "dest_key").drop("src_key", "dest_key")
-    return network(spark, sf_dir).join(countries, "event_id")
+    return events.join(source, "src_key").join(dest, "dest_key").drop("src_key", "dest_key")
 
 
 def _json(**columns):

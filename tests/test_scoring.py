@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veerline.config import DEFAULT, FOUR_TERM
 from veerline.functions import ladder, sum_terms, zscore
-from veerline.operators import baseline, bounds as bd, features, reports, risk as rk, scores
+from veerline.operators import baseline, bounds as bd, enrich, features, reports, risk as rk, scores
 from veerline.operators.bounds import resolve_bounds
 from veerline.plans import detect
 from veerline.plans.detection import scored_network_days
@@ -291,3 +292,33 @@ def test_one_feed_of_addresses_domains_and_hashes(spark):
         assert {r["event_id"]: (r["threat_match"], r["threat_kinds"]) for r in found} == {
             1: (True, ["domain", "ip"]), 2: (True, ["domain", "hash"]), 3: (False, []), 4: (False, []), 5: (True, ["hash", "ip"]),
         }
+
+
+def test_gaps_of_a_period_longer_than_one_number_of_bits(spark):
+    bounds = bd.Bounds("2024-01-01 06:00:00", "2024-05-01 00:00:00", "2024-05-10 12:00:00", T.TimestampNTZType())
+    all_days = [datetime(2024, 1, 1, 12) + timedelta(days=i) for i in range(131)]
+    seen = {"every": set(range(131)), "ends": {0, 59, 60, 119, 120, 130}, "once": {64}}
+    rows = [(user, all_days[i]) for user, days in seen.items() for i in days for _ in range(2)]
+    events = spark.createDataFrame(rows + [("before", datetime(2024, 1, 1, 5))], "user string, event_time timestamp_ntz")
+    got = {tuple(r) for r in enrich.data_gaps(events, bounds).collect()}
+    assert got == {(user, all_days[i].date()) for user, days in seen.items() for i in range(131) if i not in days}
+
+
+def test_reports_take_severities_in_any_case(spark):
+    findings = spark.createDataFrame(
+        [("High", "a", datetime(2024, 1, 1)), ("HIGH", "b", datetime(2024, 1, 1)), ("low", "c", datetime(2024, 1, 1))],
+        "severity string, user string, event_time timestamp_ntz",
+    )
+    assert {r["severity"]: r["findings"] for r in reports.findings_by_severity(findings).collect()} == {
+        "CRITICAL": 0, "HIGH": 2, "MEDIUM": 0, "LOW": 1,
+    }
+    assert [(r["findings"], r["users"]) for r in reports.daily_high_risk(findings).collect()] == [(2, 2)]
+
+
+def test_reasons_without_a_name_still_count(spark):
+    events = spark.createDataFrame(
+        [("a", True, "x"), ("a", True, None), ("a", True, "x"), ("a", False, "y"), ("b", True, None)],
+        "user string, is_anomaly boolean, anomaly_reason string",
+    )
+    rows = [tuple(r) for r in reports.labelled_summary(events).collect()]
+    assert rows == [("a", 3, ["x"]), ("b", 1, [])]

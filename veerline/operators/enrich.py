@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,15 +122,20 @@ def drill_process(events: DataFrame, user: str, since: str) -> DataFrame:
 def data_gaps(events: DataFrame, bounds: Bounds, settings: Settings = DEFAULT) -> DataFrame:
     """Days of the whole period on which a user has no event.
 
-    A user's set of days is no larger than the period, so the calendar is compared inside
-    the user's row and needs no join.
+    The days a user was seen on are bits of whole numbers, 60 days each, so that events collapse
+    before the only shuffle and no list is collected; the calendar is compared inside the user's row.
     """
-    days = in_both(events, bounds, settings).groupBy("user").agg(
-        F.collect_set(F.to_date("event_time")).alias("seen")
-    )
-    calendar = F.sequence(
-        F.to_date(bounds.literal("baseline_start")), F.to_date(bounds.literal("analysis_end"))
+    first, last = (date.fromisoformat(getattr(bounds, n)[:10]) for n in ("baseline_start", "analysis_end"))
+    numbers = range((last - first).days // 60 + 1)
+    start = F.to_date(bounds.literal("baseline_start"))
+    day = F.date_diff(F.to_date("event_time"), start)
+    bit = F.expr("shiftleft(1L, cast(_day % 60 as int))")
+    seen = in_both(events, bounds, settings).select("user", day.alias("_day")).groupBy("user").agg(
+        *[F.coalesce(F.bit_or(F.when(F.floor(F.col("_day") / 60) == i, bit)), F.lit(0)).alias(f"_seen{i}") for i in numbers]
     )
-    return days.select("user", F.explode(F.array_except(calendar, "seen")).alias("date"))
-
-
+    calendar = F.sequence(start, F.to_date(bounds.literal("analysis_end")))
+    missing = F.lit(False)
+    for i in numbers:
+        within = F.date_diff(F.col("date"), start) - 60 * i
+        missing |= within.between(0, 59) & (F.getbit(f"_seen{i}", F.pmod(within, F.lit(60))) == 0)
+    return seen.select("*", F.explode(calendar).alias("date")).filter(missing).select("user", "date")

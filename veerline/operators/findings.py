@@ -175,26 +175,26 @@ def ticket_queue(findings: DataFrame, group: str = "Security Operations") -> Dat
 def number_findings(findings: DataFrame, keys: tuple[str, ...] = ("finding_type", "event_id")) -> DataFrame:
     """Adds ``finding_id`` 1..n in the order of ``keys``, which must identify a row.
 
-    Rows are split into ranges of keys and written; each range is numbered on its own and
-    shifted by the rows before it. Only the row counts of the ranges, one per partition, are
-    added up in one place.
+    Rows are split into ranges of keys, numbered while they are written in order, and shifted by
+    the rows of the ranges before; that is the only shuffle of them. Only the row counts of the
+    ranges, one per partition, are added up in one place.
     """
     ranged = (
         findings.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn("_range", F.spark_partition_id())
+        .withColumns({"_range": F.spark_partition_id(), "_id": F.monotonically_increasing_id()})
     )
+    # Within a partition these ids go up by one; its first one depends on its number.
     stored = materialise(ranged, "numbered")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         stored.groupBy("_range")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
+        .select("_range", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy("_range").orderBy(*keys)
     # As many offsets as ranges, that is, at most the number of shuffle partitions.
     return (
         stored.join(F.broadcast(offsets), "_range")
-        .withColumn("finding_id", F.row_number().over(within) + F.col("_offset"))
-        .drop("_range", "_offset")
+        .withColumn("finding_id", F.col("_id") - F.col("_first") + 1 + F.col("_offset"))
+        .drop("_range", "_id", "_first", "_offset")
     )

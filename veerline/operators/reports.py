@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, LEVELS, Settings
 from .bounds import Bounds
 from .enrich import drill_network, drill_process
+from .findings import by_severity
 from .risk import risk_distribution, top_users
 from .scores import top_days_per_user
 
@@ -17,8 +18,8 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def findings_by_severity(findings: DataFrame, levels: tuple[str, ...] = LEVELS) -> DataFrame:
-    """A row for every level, in the given order, also for levels without findings."""
-    counts = findings.agg(*[F.count_if(F.col("severity") == level).alias(level) for level in levels])
+    """A row for every level, in the given order, also for levels without findings; case does not count."""
+    counts = findings.agg(*[F.count_if(F.upper("severity") == level.upper()).alias(level) for level in levels])
     rank = F.array_position(F.array(*[F.lit(x) for x in levels]), F.col("severity"))
     return counts.unpivot([], list(levels), "severity", "findings").orderBy(rank)
 
@@ -30,7 +31,7 @@ def findings_by_type(findings: DataFrame) -> DataFrame:
 def daily_high_risk(findings: DataFrame, levels: tuple[str, ...] = ("HIGH", "CRITICAL")) -> DataFrame:
     """Serious findings per day, latest first: how many, and of how many users."""
     return (
-        findings.filter(F.col("severity").isin(*levels))
+        by_severity(findings, levels)
         .groupBy(F.to_date("event_time").alias("date"))
         .agg(F.count(F.lit(1)).alias("findings"), F.count_distinct("user").alias("users"))
         .orderBy(F.desc("date"))
@@ -47,12 +48,13 @@ def hourly_pattern(events: DataFrame) -> DataFrame:
 
 def labelled_summary(events: DataFrame) -> DataFrame:
     """Flagged events per user, with the set of reasons (a handful of rule names)."""
+    # Counts per user and reason first, so that no event is collected.
+    reasons = events.filter(F.col("is_anomaly")).groupBy("user", "anomaly_reason").count()
     return (
-        events.filter(F.col("is_anomaly"))
-        .groupBy("user")
+        reasons.groupBy("user")
         .agg(
-            F.count(F.lit(1)).alias("anomalous_events"),
-            F.array_sort(F.collect_set("anomaly_reason")).alias("anomaly_types"),
+            F.sum("count").alias("anomalous_events"),
+            F.array_sort(F.collect_list("anomaly_reason")).alias("anomaly_types"),
         )
         .orderBy(F.desc("anomalous_events"), "user")
     )
