@@ -114,3 +114,30 @@ def test_alerts_are_corrected_by_late_events(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert seen == [[], [], [("ann", "2024-03-31")], 0]
+
+
+def test_revised_days_need_no_python_and_no_state_store_of_their_own(spark, tmp_path):
+    """Every batch sends the days that it touches, whole; a day behind the watermark takes nothing more."""
+    source, state = str(tmp_path / "in"), str(tmp_path / "state")
+    day = END.replace(hour=9)
+    first = [network_row(day + timedelta(minutes=i), f"u{i % 200}", dest_ip=f"10.0.0.{i % 7}", bytes_in=None) for i in range(400)]
+    second = [network_row(day.replace(hour=3), "u1", dest_ip="10.9.9.9", dest_host=None), network_row(day.replace(hour=9), "u1", dest_ip="10.0.0.1")]
+    batches = [first, second, [network_row(day + timedelta(days=6), "bob")], [network_row(day, "u1"), network_row(day + timedelta(days=6), "bob")]]
+    seen = []
+
+    def keep(batch, _):
+        seen.append({(r["user"], str(r["date"])): r.asDict() for r in batch.collect()})
+
+    for rows in batches:
+        put(spark, rows, source)
+        daily = revised_daily(read_event_stream(spark, source, spark.read.parquet(source).schema))
+        assert "TransformWithState" not in daily._jdf.queryExecution().logical().toString()
+        daily.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    seen = [batch for batch in seen if batch]
+    assert [len(batch) for batch in seen] == [200, 1, 1, 1]
+    u1 = [batch["u1", "2024-03-31"] for batch in seen[:2]]
+    assert [(r["revision"], r["daily_events"], r["unique_destinations"], r["unique_hosts"]) for r in u1] == [(1, 2, 2, 1), (2, 4, 3, 1)]
+    assert [(r["daily_bytes_out"], r["daily_bytes_in"], r["active_hours"], r["first_activity_hour"], r["last_activity_hour"]) for r in u1] == [
+        (200, None, 2, 9, 12), (400, 20, 3, 3, 12)
+    ]
+    assert [(r["revision"], r["daily_events"]) for batch in seen[2:] for r in batch.values()] == [(1, 1), (2, 2)]

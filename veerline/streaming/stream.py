@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from datetime import datetime, time, timedelta, timezone
+from datetime import timedelta
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from ..config import DEFAULT, Settings
 from ..functions.text import finding_id
@@ -79,82 +75,42 @@ def stream_daily(stream: DataFrame, delay: str = "1 hour", approx: bool = False)
     )
 
 
-#: The state of an open user-day: sums, a bit per hour, and how often its row has been sent.
-DAY_STATE = "events long, bytes_out long, bytes_in long, hours long, revision long"
 REVISED_COLUMNS = (*STREAM_COLUMNS, "revision")
 
 
-class DayProcessor(StatefulProcessor):
-    """Keeps each user-day open for late events: a batch that touches it sends its features again.
-
-    Distinct values are entries of a state map, each a record of its own in the state store.
-    """
-
-    def __init__(self, keep: timedelta):
-        self.keep = keep
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.day = handle.getValueState("day", DAY_STATE)
-        self.seen = {c: handle.getMapState(c, "value string", "seen boolean") for c in ("dest_ip", "dest_host")}
-        self.counts = handle.getValueState("counts", "dest_ip long, dest_host long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events, hours, revision = (0, 0, 0)
-        bytes_out = bytes_in = None
-        if self.day.exists():
-            events, bytes_out, bytes_in, hours, revision = self.day.get()
-        else:
-            # The state goes once the watermark is past the day and the time that it is kept for.
-            midnight = datetime.combine(key[1], time(), timezone.utc) + timedelta(days=1) + self.keep
-            self.handle.registerTimer(int(midnight.timestamp() * 1000))
-        counts = list(self.counts.get()) if self.counts.exists() else [0, 0]
-        for part in rows:
-            events += len(part)
-            if part["bytes_out"].notna().any():
-                bytes_out = (bytes_out or 0) + int(part["bytes_out"].sum())
-            if part["bytes_in"].notna().any():
-                bytes_in = (bytes_in or 0) + int(part["bytes_in"].sum())
-            for hour in part["hour"].unique():
-                hours |= 1 << int(hour)
-            for i, name in enumerate(("dest_ip", "dest_host")):
-                for value in part[name].dropna().unique():
-                    if not self.seen[name].containsKey((value,)):
-                        self.seen[name].updateValue((value,), (True,))
-                        counts[i] += 1
-        self.day.update((events, bytes_out, bytes_in, hours, revision + 1))
-        self.counts.update(tuple(counts))
-        cells = [key[0], key[1], events, bytes_out, bytes_in, *counts, bin(hours).count("1"), (hours & -hours).bit_length() - 1, hours.bit_length() - 1, revision + 1]
-        yield pd.DataFrame([cells], columns=["user", "date", *REVISED_COLUMNS]).astype({"daily_bytes_out": "Int64", "daily_bytes_in": "Int64"})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        for state in (self.day, self.counts, *self.seen.values()):
-            state.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
 def revised_daily(stream: DataFrame, keep: timedelta = timedelta(days=3)) -> DataFrame:
     """Daily features per user after every batch that holds an event of the day, with a ``revision`` from 1.
 
     An event that comes within ``keep`` of the latest one still counts; a day's state is cleared when it can get none
-    any more. Needs the state store provider ``ROCKSDB`` in ``spark.sql.streaming.stateStore.providerClass``.
+    any more. The state is one row of sums per open user-day, and a record of its own for each of its distinct values
+    and for each batch that held an event of it, which make up the counts: no record grows, and the values of a user
+    with very many of them are spread over all tasks.
     """
-    # The state processor's runner does not know the driver's module path, so the class goes there by value.
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    watched = stream.withWatermark("event_time", f"{int(keep.total_seconds())} seconds")
-    narrow = watched.select(
-        "event_time", "user", F.to_date("event_time").alias("date"), F.hour("event_time").alias("hour"), "bytes_out", "bytes_in", "dest_ip", "dest_host"
-    ).filter("date IS NOT NULL")
-    schema = (
-        "user string, date date, daily_events long, daily_bytes_out long, daily_bytes_in long, unique_destinations long,"
-        " unique_hosts long, active_hours long, first_activity_hour int, last_activity_hour int, revision long"
-    )
-    return narrow.groupBy("user", "date").transformWithStateInPandas(
-        statefulProcessor=DayProcessor(keep), outputStructType=schema, outputMode="Update", timeMode="EventTime"
+    day = F.window("event_time", "1 day").alias("day")
+    hour = F.hour("event_time")
+    # The day replaces the time of the event: what follows takes late events until the whole day is past the watermark.
+    narrow = stream.withWatermark("event_time", f"{int(keep.total_seconds())} seconds").select(
+        day, "user", hour.alias("hour"), "bytes_out", "bytes_in", "dest_ip", "dest_host",
+        # Fixed for a batch, also if it is repeated.
+        F.current_timestamp().alias("batch"),
     )
+    values = [F.struct(F.lit(c).alias("kind"), F.col(c).cast("string").alias("value")) for c in ("dest_ip", "dest_host", "batch")]
+    first_seen = narrow.select("day", "user", F.explode(F.array(*values)).alias("x")).select("day", "user", "x.*")
+    first_seen = first_seen.filter(F.col("value").isNotNull()).dropDuplicates(["day", "user", "kind", "value"]).drop("value")
+    events = narrow.select("day", "user", F.lit("event").alias("kind"), "hour", "bytes_out", "bytes_in")
+    aggregates = {
+        "daily_events": F.count_if(F.col("kind") == "event"),
+        "daily_bytes_out": F.sum("bytes_out"),
+        "daily_bytes_in": F.sum("bytes_in"),
+        "unique_destinations": F.count_if(F.col("kind") == "dest_ip"),
+        "unique_hosts": F.count_if(F.col("kind") == "dest_host"),
+        "active_hours": F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("hour")))).cast("bigint"),
+        "first_activity_hour": F.min("hour"),
+        "last_activity_hour": F.max("hour"),
+        "revision": F.count_if(F.col("kind") == "batch"),
+    }
+    daily = events.unionByName(first_seen, allowMissingColumns=True).groupBy("user", "day")
+    return daily.agg(*[aggregates[c].alias(c) for c in REVISED_COLUMNS]).select("user", F.to_date("day.start").alias("date"), *REVISED_COLUMNS)
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
