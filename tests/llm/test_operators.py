@@ -341,3 +341,18 @@ def test_additive_model_learns_an_interaction():
     y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype("float64")
     model = gam.fit(x[:3000], y[:3000])
     assert ((model.score(x[3000:]) >= 0.5) == y[3000:]).mean() > 0.9
+
+
+def test_known_words_are_not_cut_again():
+    import public_tokenizers as public
+
+    encoder = token_file.Encoder(public.path("byte_bpe_50k.json"))
+    odd = ["  a  b \n c", "x  ", "it's we'LL 's  's", "\x1cfoo \x1dbar 　baz", "naïve ü ① ٣ 漢", "tab\t x\n\n y", "a_b _c __d", "é \U0001f600 x", "  y"]
+    for text in odd:
+        assert encoder.encode(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids, repr(text)
+    text = "Known words, cut once; known words: read twice."
+    ids = encoder.encode(text).tolist()
+    cut = []
+    encoder.pattern = type("Pattern", (), {"findall": lambda _, piece, old=encoder.pattern: cut.append(piece) or old.findall(piece)})()
+    assert encoder.encode(text).tolist() == ids
+    assert cut == ["Known"]

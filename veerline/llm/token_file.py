@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import json
+import re
 import struct
 import zlib
 from array import array
@@ -100,13 +102,22 @@ def decode_block(data: bytes, freq: np.ndarray, symbols: np.ndarray, point: int
     return np.concatenate(parts) if parts else np.zeros(0, "uint32")
 
 
+def byte_letters() -> str:
+    """The letters that stand for the bytes 0 to 255 in a byte-level vocabulary: printable ones for themselves."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which encodes each distinct piece of text once.
 
     A byte-level tokenizer cuts a text into pieces by a pattern and encodes each on its own, so the ids of a text are
-    those of its pieces. A text is left to the library whole if it names a special token or holds a character that
-    the library puts into another class than the pattern here does, and so are all texts of any other tokenizer. A
-    full memory is no limit: what is not in it is encoded again.
+    those of its pieces. A piece always ends before a space that something other than space follows, so a text is
+    first split there, and the ids of the words are remembered; only a word that is not is cut into its pieces. A text
+    is left to the library whole if it names a special token or holds a character that the library puts into another
+    class than the pattern here does, and so are all texts of any other tokenizer. A full memory is no limit: what is
+    not in it is encoded again.
     """
 
     def __init__(self, path: str):
@@ -116,13 +127,20 @@ class Encoder:
         how = json.loads(self.library.to_str())
         plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         cut = how["pre_tokenizer"] or {}
-        self.by_piece = how["normalizer"] is None and all(cut.get(k) == v for k, v in plain.items())
+        bare = all(how.get(k) is None for k in ("normalizer", "truncation", "padding"))
+        self.by_piece = bare and all(cut.get(k) == v for k, v in plain.items())
         self.special = [t["content"] for t in how["added_tokens"]]
         self.pattern, self.number = regex.compile(PIECES), regex.compile(r"\p{N}")
         self.letter, self.space = regex.compile(r"\p{L}"), regex.compile(r"\s")
+        self.split = re.compile(r" (?=\S)").split
         self.agreed: set[str] = set()
         self.differing: set[str] = set()
-        # The ids of a piece as bytes: small, and quickly joined.
+        #: Ids are kept as bytes, which are small and quickly joined.
+        self.kind = "H" if self.size() <= 1 << 16 else "I"
+        self.model = self.library.model
+        self.letters = byte_letters()
+        # What follows a space, a word or a piece of one, without that space; pieces without one.
+        self.words: dict[str, bytes] = {}
         self.memo: dict[str, bytes] = {}
 
     def size(self) -> int:
@@ -131,8 +149,9 @@ class Encoder:
     def _agrees(self, c: str) -> bool:
         """Whether the library and the pattern put a character into the same class: letter, number, space or other."""
         alone = [len(self.library.pre_tokenizer.pre_tokenize_str(x + c)) == 1 for x in "a1!"]
-        mine = [bool(self.letter.match(c)), bool(self.number.match(c))]
-        return alone == [*mine, not any(mine) and not self.space.match(c)]
+        mine, space = [bool(self.letter.match(c)), bool(self.number.match(c))], bool(self.space.match(c))
+        # Words are split, and known to be one piece, by Python's classes.
+        return alone == [*mine, not any(mine) and not space] and c.isalpha() == mine[0] and c.isspace() >= space
 
     def _same(self, text: str) -> bool:
         new = set(text) - self.agreed
@@ -143,20 +162,47 @@ class Encoder:
                 (self.agreed if self._agrees(c) else self.differing).add(c)
         return not new & self.differing and not any(t in text for t in self.special)
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "int32")
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
 
-    def encode(self, text: str) -> np.ndarray:
+    def _keep(self, home: dict[str, bytes], name: str, ids: bytes) -> bytes:
+        if len(self.words) + len(self.memo) < MEMO:
+            home[name] = ids
+        return ids
+
+    def _library(self, piece: str) -> bytes:
+        spelt, _ = codecs.charmap_decode(piece.encode(), "strict", self.letters)
+        return self._bytes([t.id for t in self.model.tokenize(spelt)])
+
+    def _piece(self, piece: str) -> bytes:
+        home, name = (self.words, piece[1:]) if piece[0] == " " else (self.memo, piece)
+        found = home.get(name)
+        return self._keep(home, name, self._library(piece)) if found is None else found
+
+    def _pieces(self, text: str) -> bytes:
+        return b"".join(map(self._piece, self.pattern.findall(text)))
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word with the space before it."""
+        found = self.words.get(word)
+        if found is not None:
+            return found
+        spaced = f" {word}"
+        return self._keep(self.words, word, self._library(spaced) if word.isalpha() else self._pieces(spaced))
+
+    def encode_bytes(self, text: str) -> bytes:
+        """The ids of a text as unsigned integers of ``kind``."""
         if not self.by_piece or not self._same(text):
-            return self._whole(text)
-        pieces, memo = self.pattern.findall(text), self.memo
-        new = list(set(pieces).difference(memo))
-        extra = {}
-        for piece, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False) if new else []):
-            (memo if len(memo) < MEMO else extra)[piece] = array("i", found.ids).tobytes()
-        if extra:
-            return np.frombuffer(b"".join([memo[p] if p in memo else extra[p] for p in pieces]), "int32")
-        return np.frombuffer(b"".join(map(memo.__getitem__, pieces)), "int32")
+            return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
+        first, *words = self.split(text)
+        found, at = list(map(self.words.get, words)), -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            found[at] = self._word(words[at])
+        return self._pieces(first) + b"".join(found)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text), self.kind).astype("int32")
 
 
 @lru_cache(maxsize=1)
@@ -169,32 +215,33 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     encoder = _encoder(path)
+    end, wide = encoder._bytes([END]), np.dtype(encoder.kind).itemsize
     part, row, seen = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             cut = batch.slice(at, 64)
-            ids = [np.append(encoder.encode(t or ""), np.int32(END)) for t in cut.column(1).to_pylist()]
-            n = np.array([len(x) for x in ids], "int64")
+            ids = [encoder.encode_bytes(t or "") + end for t in cut.column(1).to_pylist()]
+            n = np.array([len(x) // wide for x in ids], "int64")
             ends = seen + np.cumsum(n)
             k = len(ids)
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n)]).astype("int32"), pa.array(np.concatenate(ids), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [cut.column(0), lists, pa.array(n), pa.array(np.full(k, part, "int32")),
+                [cut.column(0), pa.array(ids, pa.binary()), pa.array(n), pa.array(np.full(k, part, "int32")),
                  pa.array(np.arange(row, row + k, dtype="int64")), pa.array(ends - n)],
                 ["doc_id", "ids", "n_tokens", "part", "row", "before"],
             )
             row, seen = row + k, int(ends[-1])
 
 
-def _tally(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+def _tally(batches: Iterator[pa.RecordBatch], size: int, kind: str) -> Iterator[pa.RecordBatch]:
     total = np.zeros(size, "int64")
     for batch in batches:
-        total += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        for ids in batch.column(0):
+            total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
 
-def _write(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _write(batches: Iterator[pa.RecordBatch], freq: np.ndarray, kind: str) -> Iterator[pa.RecordBatch]:
     """Blocks of whole documents; a document above the block size fills several blocks of its own."""
     docs: list = []
     ids: list[np.ndarray] = []
@@ -212,7 +259,7 @@ def _write(batches: Iterator[pa.RecordBatch], freq: np.ndarray) -> Iterator[pa.R
     for batch in batches:
         values = batch.column(1)
         for i in range(batch.num_rows):
-            one = values[i].values.to_numpy()
+            one = np.frombuffer(values[i].as_buffer(), kind)
             home = batch.column(3)[i].as_py()
             if docs and (size + len(one) > BLOCK or home != part):
                 yield block()
@@ -250,18 +297,18 @@ def write_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     ranged = narrow.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
-    schema = "doc_id long, ids array<int>, n_tokens long, part int, row long, before long"
+    schema = "doc_id long, ids binary, n_tokens long, part int, row long, before long"
     tokens = store(ranged.mapInArrow(partial(_tokenise, path=tokenizer), schema), "token-ids")
-    size = _encoder(tokenizer).size()
+    size, kind = _encoder(tokenizer).size(), _encoder(tokenizer).kind
     counts = np.zeros(size, "int64")
-    tally = tokens.select("ids").mapInArrow(partial(_tally, size=size), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    tally = tokens.select("ids").mapInArrow(partial(_tally, size=size, kind=kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     for row in tally.collect():
         counts[row["id"]] = row["n"]
     freq = frequencies(counts)
     rows = [(i, int(n), zlib.crc32(freq.tobytes())) for i, n in enumerate(freq)]
     table = store(docs.sparkSession.createDataFrame(rows, "id int, freq long, crc long").coalesce(1), "token-frequencies")
     columns = "part int, first_row long, doc_ids array<long>, before array<long>, lengths array<long>, blocks array<binary>"
-    return store(tokens.mapInArrow(partial(_write, freq=freq), columns), "token-file"), table
+    return store(tokens.mapInArrow(partial(_write, freq=freq, kind=kind), columns), "token-file"), table
 
 
 def load_frequencies(table: DataFrame) -> np.ndarray:
