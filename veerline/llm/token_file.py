@@ -51,18 +51,20 @@ def encode_block(ids: np.ndarray, freq: np.ndarray) -> bytes:
     """
     lanes = min(LANES, max(1, len(ids)))
     start = np.concatenate([[0], np.cumsum(freq, dtype="uint64")[:-1]]).astype("uint64")
-    f, s = freq.astype("uint64")[ids], start[ids]
+    freq = freq.astype("uint64")
+    f, g, s = freq[ids], (np.uint64(1 << BITS) - freq)[ids], start[ids]
     state, words, points, sent = np.full(lanes, LOW, "uint64"), [], [], 0
     # A checkpoint stands before a full row of lanes.
     step = max(1, STEP // lanes) * lanes
     for at in range((max(0, len(ids) - 1) // lanes) * lanes, -1, -lanes):
-        fi, si = f[at : at + lanes], s[at : at + lanes]
+        fi, gi, si = f[at : at + lanes], g[at : at + lanes], s[at : at + lanes]
         x = state[: len(fi)]
         full = x >= (fi << np.uint64(63 - BITS))
         words.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")[::-1])
         sent += len(words[-1])
         x = np.where(full, x >> np.uint64(32), x)
-        state[: len(fi)] = ((x // fi) << np.uint64(BITS)) + x % fi + si
+        # The same as (x // fi << BITS) + x % fi + si, with one division.
+        state[: len(fi)] = x + x // fi * gi + si
         if at % step == 0:
             crc = zlib.crc32(ids[at : at + step].astype("<u4").tobytes())
             points.append((sent, crc, state.astype("<u8").tobytes()))
@@ -195,9 +197,8 @@ class Encoder:
         if not self.by_piece or not self._same(text):
             return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
         first, *words = self.split(text)
-        found, at = list(map(self.words.get, words)), -1
-        for _ in range(found.count(None)):
-            at = found.index(None, at + 1)
+        found = list(map(self.words.get, words))
+        for at in [i for i, ids in enumerate(found) if ids is None]:
             found[at] = self._word(words[at])
         return self._pieces(first) + b"".join(found)
 
@@ -235,8 +236,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
 def _tally(batches: Iterator[pa.RecordBatch], size: int, kind: str) -> Iterator[pa.RecordBatch]:
     total = np.zeros(size, "int64")
     for batch in batches:
-        for ids in batch.column(0):
-            total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+        total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), kind), minlength=size)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
