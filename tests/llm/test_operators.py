@@ -356,3 +356,56 @@ def test_known_words_are_not_cut_again():
     encoder.pattern = type("Pattern", (), {"findall": lambda _, piece, old=encoder.pattern: cut.append(piece) or old.findall(piece)})()
     assert encoder.encode(text).tolist() == ids
     assert cut == ["Known"]
+
+
+def test_many_texts_are_cut_at_once_as_the_library_cuts_each():
+    import public_tokenizers as public
+    import pyarrow as pa
+
+    r = np.random.default_rng(11)
+    encoder = token_file.Encoder(public.path("byte_bpe_50k.json"))
+    parts = ["a", "Zs", "'s", "'", "'ll", " '", "1", "!", ".", "-", " ", "  ", "\n", "\n\n", " \n", "\t", "\x0c", "\x00", "\x1c", "\x7f"]
+    wide = ["é", "ж", "数据", "“", "́", "½", " ", "  ", "\u0085", "  ", "　", "🙂"]
+    odd = ["<|endoftext|>", "\U0001c000", "࢏", " Ɤ"]
+    for pool in (parts, parts + wide, parts + wide + odd):
+        texts = ["".join(r.choice(pool, int(r.integers(0, 12)))) if i % 50 else None for i in range(2000)]
+        # Slices, as a task cuts its batches; white space ends one text where another begins.
+        column = pa.array(texts, pa.string())
+        found = [x.as_py() for a, n in ((0, 700), (700, 0), (700, 1), (701, 1299)) for x in encoder.encode_all(column.slice(a, n))]
+        for text, ids in zip(texts, found, strict=True):
+            whole = encoder.library.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, encoder.kind).tolist() == whole, repr(text)
+
+
+def test_a_word_that_many_texts_share_is_looked_up_once():
+    import public_tokenizers as public
+    import pyarrow as pa
+
+    encoder = token_file.Encoder(public.path("byte_bpe_50k.json"))
+    asked = []
+    encoder.memo = type("Memo", (dict,), {"get": lambda self, name: asked.append(name) or dict.get(self, name)})()
+    encoder.encode_all(pa.array([f"x{i} alpha,\nbeta alpha (gamma)." for i in range(500)]))
+    # Also behind a line break or before a mark.
+    assert [asked.count(w) for w in (b" alpha", b"beta", b"gamma")] == [1, 1, 1]
+    # Texts without a place to cut are not remembered whole.
+    encoder.encode_all(pa.array(["数据" * 40 + "。" + "数" * 40, "a " + "é" * 70, "b" * 90]))
+    assert max(map(len, encoder.memo)) <= token_file.LONGEST
+
+
+def test_a_task_encodes_few_and_long_texts_at_once(monkeypatch):
+    import public_tokenizers as public
+    import pyarrow as pa
+
+    path = public.path("byte_bpe_50k.json")
+    monkeypatch.setattr(token_file, "CHUNK", 40)
+    monkeypatch.setattr(token_file.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 3})()))
+    texts = ["one two", None, "", "long " * 40, "three", " ", "\n four"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6, 7, 8, 9, 10, None], pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows = [x for b in token_file._tokenise(iter([batch, batch]), path) for x in b.to_pylist()]
+    encoder, before = token_file.Encoder(path), 0
+    assert len(rows) == 14
+    for i, x in enumerate(rows):
+        ids = [*encoder.library.encode(texts[i % 7] or "", add_special_tokens=False).ids, 0]
+        assert np.frombuffer(x["ids"], encoder.kind).tolist() == ids and x["doc_id"] == batch.column(0)[i % 7].as_py()
+        assert (x["n_tokens"], x["part"], x["row"], x["before"]) == (len(ids), 3, i, before)
+        before += len(ids)

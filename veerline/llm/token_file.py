@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import codecs
 import json
-import re
 import struct
 import zlib
 from array import array
@@ -13,6 +12,7 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -26,6 +26,10 @@ MAGIC, BITS, LANES, BLOCK, STEP, END = b"RNS2", 20, 2048, 1 << 19, 1 << 17, 0
 LOW = np.uint64(1 << 31)
 #: Pieces of text whose ids a task remembers; the library encodes all others.
 MEMO = 1 << 20
+#: Bytes of the longest of them, so that their number bounds the memory; longer ones seldom come again.
+LONGEST = 64
+#: Bytes of text that are encoded at once; a longer text alone.
+CHUNK = 1 << 22
 #: How a byte-level tokenizer cuts a text into pieces before it merges bytes (fixed value).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -111,15 +115,66 @@ def byte_letters() -> str:
     return "".join(chr(b if b in shown else next(others)) for b in range(256))
 
 
+#: Classes of bytes.
+LETTER, DIGIT, MARK, QUOTE, SPACE, BREAK, WIDE = range(1, 8)
+
+
+def byte_classes() -> np.ndarray:
+    """The class of each byte: an ASCII letter, digit, mark, apostrophe, space or line break, else 0, above ASCII ``WIDE``."""
+    classes = np.zeros(256, "uint8")
+    for b in range(128):
+        c = chr(b)
+        kinds = [(c.isalpha(), LETTER), (c.isdigit(), DIGIT), (c == "'", QUOTE), (c == " ", SPACE), (c in "\t\n\v\f\r", BREAK), (33 <= b < 127, MARK)]
+        classes[b] = next((kind for holds, kind in kinds if holds), 0)
+    classes[128:] = WIDE
+    return classes
+
+
+CLASSES = byte_classes()
+#: Whether a piece always ends between two bytes of these classes (first * 8 + second).
+ENDS = np.array([
+    a in (LETTER, DIGIT, MARK, QUOTE) and LETTER <= b <= BREAK and a != b and {a, b} != {MARK, QUOTE} and (a, b) != (QUOTE, LETTER)
+    for a in range(8) for b in range(8)
+])
+#: White space above ASCII, by the UTF-8 bytes as numbers; none has four.
+WIDE_SPACES = [int.from_bytes(chr(c).encode()) for c in range(128, 1 << 16) if chr(c).isspace()]
+
+
+def cut_units(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Offsets of the units of texts, whose UTF-8 bytes stand one after the other; ``offsets`` are those of the texts.
+
+    A unit is one piece or several, in whatever text it stands. A piece always ends where the class of ASCII
+    characters changes, except after an apostrophe (``'s`` is a piece) and after white space, whose last character
+    may belong to the next piece; before a space that something other than white space follows; and after a single
+    line break.
+    """
+    cut = np.zeros(len(data) + 1, bool)
+    kind = CLASSES[data]
+    cut[1:-1] = ENDS[kind[:-1] << 3 | kind[1:]]
+    followed = (kind[:-1] == SPACE) & (kind[1:] != SPACE) & (kind[1:] != BREAK) & (kind[1:] != 0)
+    at = np.flatnonzero(followed & (kind[1:] == WIDE))
+    first, second, third = (data[np.minimum(at + k, len(data) - 1)].astype("int64") for k in (1, 2, 3))
+    two = first << 8 | second
+    followed[at[np.isin(two, WIDE_SPACES) | np.isin(two << 8 | third, WIDE_SPACES)]] = False
+    # The last space of a text is followed by nothing.
+    ends = offsets[1:][(offsets[1:] > 0) & (offsets[1:] < len(data))]
+    followed[ends - 1] = False
+    cut[:-2] |= followed
+    word = (kind >= LETTER) & (kind <= QUOTE)
+    cut[2:-1] |= word[:-2] & (kind[1:-1] == BREAK) & word[2:]
+    cut[offsets] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which encodes each distinct piece of text once.
 
     A byte-level tokenizer cuts a text into pieces by a pattern and encodes each on its own, so the ids of a text are
-    those of its pieces. A piece always ends before a space that something other than space follows, so a text is
-    first split there, and the ids of the words are remembered; only a word that is not is cut into its pieces. A text
-    is left to the library whole if it names a special token or holds a character that the library puts into another
-    class than the pattern here does, and so are all texts of any other tokenizer. A full memory is no limit: what is
-    not in it is encoded again.
+    those of its pieces. Many texts are first cut into units of whole pieces (``cut_units``) and the distinct units
+    among them looked up; their ids are remembered, and only a unit that is not is cut into its pieces, as is the
+    first unit of each text. A text is left to the library whole if it names a special token or holds a character
+    that the library puts into another class than the pattern here does, and so are all texts of any other tokenizer.
+    A full memory is no limit: what is not in it is encoded again.
     """
 
     def __init__(self, path: str):
@@ -131,19 +186,20 @@ class Encoder:
         cut = how["pre_tokenizer"] or {}
         bare = all(how.get(k) is None for k in ("normalizer", "truncation", "padding"))
         self.by_piece = bare and all(cut.get(k) == v for k, v in plain.items())
-        self.special = [t["content"] for t in how["added_tokens"]]
+        self.special = [t["content"].encode() for t in how["added_tokens"]]
         self.pattern, self.number = regex.compile(PIECES), regex.compile(r"\p{N}")
         self.letter, self.space = regex.compile(r"\p{L}"), regex.compile(r"\s")
-        self.split = re.compile(r" (?=\S)").split
         self.agreed: set[str] = set()
         self.differing: set[str] = set()
         #: Ids are kept as bytes, which are small and quickly joined.
         self.kind = "H" if self.size() <= 1 << 16 else "I"
-        self.model = self.library.model
+        self.model = Tokenizer.from_file(path).model
+        if how["model"]["type"] == "BPE":
+            # It is only asked for what is not remembered, which its own cache seldom holds.
+            self.model._resize_cache(0)
         self.letters = byte_letters()
-        # What follows a space, a word or a piece of one, without that space; pieces without one.
-        self.words: dict[str, bytes] = {}
-        self.memo: dict[str, bytes] = {}
+        # Units and pieces, with the space before them.
+        self.memo: dict[bytes, bytes] = {}
 
     def size(self) -> int:
         return self.library.get_vocab_size(with_added_tokens=True)
@@ -152,11 +208,13 @@ class Encoder:
         """Whether the library and the pattern put a character into the same class: letter, number, space or other."""
         alone = [len(self.library.pre_tokenizer.pre_tokenize_str(x + c)) == 1 for x in "a1!"]
         mine, space = [bool(self.letter.match(c)), bool(self.number.match(c))], bool(self.space.match(c))
-        # Words are split, and known to be one piece, by Python's classes.
+        # Units are cut, and known to be one piece, by Python's classes.
         return alone == [*mine, not any(mine) and not space] and c.isalpha() == mine[0] and c.isspace() >= space
 
-    def _same(self, text: str) -> bool:
-        new = set(text) - self.agreed
+    def _same(self, text: bytes) -> bool:
+        # Without the agreed ASCII characters, what is left of a text is UTF-8 as well.
+        known = "".join(c for c in self.agreed if c.isascii()).encode()
+        new = set(text.translate(None, known).decode()) - self.agreed
         if new:
             if new & self.differing:
                 return False
@@ -167,43 +225,66 @@ class Encoder:
     def _bytes(self, ids: list[int]) -> bytes:
         return array(self.kind, ids).tobytes()
 
-    def _keep(self, home: dict[str, bytes], name: str, ids: bytes) -> bytes:
-        if len(self.words) + len(self.memo) < MEMO:
-            home[name] = ids
+    def _keep(self, name: bytes, ids: bytes) -> bytes:
+        if len(self.memo) < MEMO and len(name) <= LONGEST:
+            self.memo[name] = ids
         return ids
 
-    def _library(self, piece: str) -> bytes:
-        spelt, _ = codecs.charmap_decode(piece.encode(), "strict", self.letters)
+    def _library(self, piece: bytes) -> bytes:
+        spelt, _ = codecs.charmap_decode(piece, "strict", self.letters)
         return self._bytes([t.id for t in self.model.tokenize(spelt)])
 
     def _piece(self, piece: str) -> bytes:
-        home, name = (self.words, piece[1:]) if piece[0] == " " else (self.memo, piece)
-        found = home.get(name)
-        return self._keep(home, name, self._library(piece)) if found is None else found
+        name = piece.encode()
+        found = self.memo.get(name)
+        return self._keep(name, self._library(name)) if found is None else found
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(map(self._piece, self.pattern.findall(text)))
 
-    def _word(self, word: str) -> bytes:
-        """The ids of a word with the space before it."""
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        spaced = f" {word}"
-        return self._keep(self.words, word, self._library(spaced) if word.isalpha() else self._pieces(spaced))
-
-    def encode_bytes(self, text: str) -> bytes:
-        """The ids of a text as unsigned integers of ``kind``."""
-        if not self.by_piece or not self._same(text):
-            return self._bytes(self.library.encode(text, add_special_tokens=False).ids)
-        first, *words = self.split(text)
-        found = list(map(self.words.get, words))
-        for at in [i for i, ids in enumerate(found) if ids is None]:
-            found[at] = self._word(words[at])
-        return self._pieces(first) + b"".join(found)
+    def _unit(self, unit: bytes) -> bytes:
+        """The ids of a unit that is not remembered."""
+        text = unit.decode()
+        return self._keep(unit, self._library(unit) if text.removeprefix(" ").isalpha() else self._pieces(text))
+
+    def _units(self, texts: pa.Array) -> pa.Array:
+        """The ids of texts that are cut as the library cuts them."""
+        offsets = np.frombuffer(texts.buffers()[1], "int32", len(texts) + 1, 4 * texts.offset)
+        if not len(texts) or offsets[0] == offsets[-1]:
+            return pa.array([b""] * len(texts), pa.binary())
+        values, low = texts.buffers()[2], int(offsets[0])
+        offsets = offsets - low
+        places = cut_units(np.frombuffer(values, "uint8", int(offsets[-1]), low), offsets)
+        units = pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer((places + low).astype("int32")), values])
+        bounds = np.searchsorted(places, offsets)
+        first = bounds[:-1][bounds[:-1] < bounds[1:]]
+        later = np.ones(len(units), bool)
+        later[first] = False
+        rest = units.filter(pa.array(later)).dictionary_encode()
+        names = rest.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.memo.get, names))
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = self._unit(names[i])
+        which = np.empty(len(units), "int64")
+        which[later] = rest.indices.to_numpy()
+        which[first] = np.arange(len(found), len(found) + len(first))
+        found += [self._pieces(unit.decode()) for unit in units.take(pa.array(first)).to_pylist()]
+        ids = pa.array(found, pa.binary()).take(pa.array(which))
+        ends = np.frombuffer(ids.buffers()[1], "int32", len(ids) + 1, 4 * ids.offset)[bounds]
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends), ids.buffers()[2] or pa.py_buffer(b"")])
+
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text as unsigned integers of ``kind``; a null is an empty text."""
+        texts = texts.fill_null("").cast(pa.binary())
+        if self.by_piece and self._same(b"".join(texts.to_numpy(zero_copy_only=False))):
+            return self._units(texts)
+        whole = np.array([not (self.by_piece and self._same(t)) for t in texts.to_pylist()], bool)
+        left = [self.library.encode(t.decode(), add_special_tokens=False).ids for t in texts.filter(pa.array(whole)).to_pylist()]
+        ids = pa.concat_arrays([self._units(texts.filter(pa.array(~whole))), pa.array(map(self._bytes, left), pa.binary())])
+        return ids.take(pa.array(np.argsort(np.argsort(whole, kind="stable"))))
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode_bytes(text), self.kind).astype("int32")
+        return np.frombuffer(self.encode_all(pa.array([text], pa.string()))[0].as_py(), self.kind).astype("int32")
 
 
 @lru_cache(maxsize=1)
@@ -219,18 +300,21 @@ def _tokenise(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
     end, wide = encoder._bytes([END]), np.dtype(encoder.kind).itemsize
     part, row, seen = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 64):
-            cut = batch.slice(at, 64)
-            ids = [encoder.encode_bytes(t or "") + end for t in cut.column(1).to_pylist()]
-            n = np.array([len(x) // wide for x in ids], "int64")
+        sizes = np.cumsum(pc.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False), dtype="int64")
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHUNK, "right"))
+            cut = batch.slice(at, max(1, upto - at))
+            ids = pc.binary_join_element_wise(encoder.encode_all(cut.column(1)), end, b"")
+            n = pc.binary_length(ids).to_numpy().astype("int64") // wide
             ends = seen + np.cumsum(n)
             k = len(ids)
             yield pa.RecordBatch.from_arrays(
-                [cut.column(0), pa.array(ids, pa.binary()), pa.array(n), pa.array(np.full(k, part, "int32")),
+                [cut.column(0), ids, pa.array(n), pa.array(np.full(k, part, "int32")),
                  pa.array(np.arange(row, row + k, dtype="int64")), pa.array(ends - n)],
                 ["doc_id", "ids", "n_tokens", "part", "row", "before"],
             )
-            row, seen = row + k, int(ends[-1])
+            at, row, seen = at + k, row + k, int(ends[-1])
 
 
 def _tally(batches: Iterator[pa.RecordBatch], size: int, kind: str) -> Iterator[pa.RecordBatch]:
